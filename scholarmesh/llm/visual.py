@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scholarmesh.runtime import stored
+
 # Letters of other scripts that are drawn as a Latin letter, by that letter.
 CYRILLIC = {"\u0430": "a", "\u0435": "e", "\u043e": "o", "\u0440": "p", "\u0441": "c", "\u0443": "y", "\u0445": "x", "\u0455": "s", "\u0456": "i", "\u0458": "j", "\u04bb": "h", "\u0501": "d", "\u051b": "q", "\u051d": "w", "\u0410": "A", "\u0412": "B", "\u0415": "E", "\u041a": "K", "\u041c": "M", "\u041d": "H", "\u041e": "O", "\u0420": "P", "\u0421": "C", "\u0422": "T", "\u0423": "Y", "\u0425": "X", "\u0405": "S", "\u0406": "I", "\u0408": "J", "\u04ae": "Y", "\u051a": "Q", "\u051c": "W", "\u04cf": "l", "\u04c0": "I"}
 GREEK = {"\u03bf": "o", "\u03bd": "v", "\u03f3": "j", "\u0391": "A", "\u0392": "B", "\u0395": "E", "\u0396": "Z", "\u0397": "H", "\u0399": "I", "\u039a": "K", "\u039c": "M", "\u039d": "N", "\u039f": "O", "\u03a1": "P", "\u03a4": "T", "\u03a5": "Y", "\u03a7": "X"}
@@ -131,7 +133,7 @@ def same_look(documents: DataFrame, shortest: int = 6) -> DataFrame:
     repeated rows count once; other columns are ignored.
     """
     d = documents.select("doc_id", "text").filter(F.length("text") >= shortest).select("doc_id", _digests("text").alias("d"))
-    keys = d.select("doc_id", F.col("d.form").alias("form"), F.col("d.stored").alias("stored"))
+    keys = stored(d.select("doc_id", F.col("d.form").alias("form"), F.col("d.stored").alias("stored")))  # read twice
     mixed = keys.groupBy("form").agg(F.min("stored").alias("a"), F.max("stored").alias("b")).filter("a <> b").select("form")
     some = keys.join(mixed, "form", "left_semi").distinct()
     left, right = some.alias("l"), some.alias("r")
