@@ -137,7 +137,7 @@ def shared_suffixes(records: DataFrame, record: str, text: str, least: int = LEA
     Nodes carry two 64-bit fingerprints; equal ones are taken as equal text.
     """
     docs = records.select(F.col(record).cast("long").alias("rid"), F.col(text).alias("text")).filter(f"rid is not null and length(text) >= {least}")
-    first = docs.mapInPandas(lambda b: _suffixes(b, least, prefix), "rid long, key long, pos int")
+    first = stored(docs.mapInPandas(lambda b: _suffixes(b, least, prefix), "rid long, key long, pos int"))  # read twice
     shared = first.groupBy("key").agg(F.min("rid").alias("a"), F.max("rid").alias("b")).filter("a < b").select("key")
     at = first.join(shared, "key", "left_semi").groupBy("rid").agg(F.collect_set("pos").alias("at"))
     # at most one entry per anchor of one record's own text
