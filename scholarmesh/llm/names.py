@@ -264,7 +264,9 @@ def trie_join(names: DataFrame, name: str) -> DataFrame:
     both = rows.join(live, "shard").withColumn("tries", F.ceil(F.col("n") / TRIE_NAMES))
     own = F.pmod(F.xxhash64("name"), F.col("tries"))
     placed = both.withColumn("block", F.explode(F.when(F.col("visits"), F.sequence(F.lit(0).cast("long"), F.col("tries") - 1)).otherwise(F.array(own))))
-    ready = placed.repartition("shard", "block").sortWithinPartitions("shard", "block", "visits").select("shard", "block", "name", "visits")
+    # a number of partitions keeps adaptive execution from joining them: the rows are few, the walk is what costs
+    n = max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * names.sparkSession.sparkContext.defaultParallelism)
+    ready = placed.repartition(n, "shard", "block").sortWithinPartitions("shard", "block", "visits").select("shard", "block", "name", "visits")
     return ready.mapInPandas(_walk, "a string, b string").distinct()
 
 
@@ -318,27 +320,27 @@ def same_person(person: DataFrame) -> DataFrame:
     spellings = rows.groupBy("sid").agg(*[F.first(c).alias(c) for c in names])
     keys = name_keys(spellings).withColumn("key", F.xxhash64("given", "family"))
     keys = stored(keys)
-    nodes = keys.select("key", "given", "family").distinct()
-    near = trie_join(nodes, "family")
+    nodes = cut(keys.select("key", "given", "family").distinct())
+    near = cut(trie_join(nodes, "family"))
     near = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(nodes.select(F.col("family").alias("a"), F.col("family").alias("b")).distinct())
     left = nodes.select(F.col("key").alias("k1"), F.col("given").alias("g1"), F.col("family").alias("a"))
     right = nodes.select(F.col("key").alias("k2"), F.col("given").alias("g2"), F.col("family").alias("b"))
     pairs = left.join(near, "a").join(right, "b").filter("k1 <> k2")
     rel = stored(pairs.select("k1", "k2", "g1", "g2", (F.col("a") == F.col("b")).alias("exact"), _relation("g1", "g2").alias("rel")).filter(F.col("rel") != OTHER))
     # A key is weak if its given name can stand for another one of the same family name.
-    weak = rel.filter((F.col("rel") == LEFT_WEAK)).select(F.col("k1").alias("key")).distinct()
-    strong_nodes = nodes.select("key").join(weak, "key", "left_anti")
+    weak = cut(rel.filter((F.col("rel") == LEFT_WEAK)).select(F.col("k1").alias("key")).distinct())
+    strong_nodes = cut(nodes.select("key").join(weak, "key", "left_anti"))
     links = rel.filter(F.col("rel") == SAME).select("k1", "k2").join(weak.select(F.col("key").alias("k1")), "k1", "left_anti").join(weak.select(F.col("key").alias("k2")), "k2", "left_anti")
-    own = keys.select("sid", "key").join(strong_nodes, "key")
+    own = cut(keys.select("sid", "key").join(strong_nodes, "key"))
     inside = own.groupBy("sid").agg(F.min("key").alias("k1"), F.max("key").alias("k2")).filter("k1 <> k2").select("k1", "k2")
     comps = hash_to_min(links.filter("k1 < k2").unionByName(inside), "k1", "k2").select(F.col("member").alias("key"), F.col("group_id").alias("entity"))
     entity = cut(strong_nodes.join(comps, "key", "left").select("key", F.coalesce("entity", "key").alias("entity")))
-    by_key = own.join(entity, "key").groupBy("sid").agg(F.min("entity").alias("entity"))
+    by_key = cut(own.join(entity, "key").groupBy("sid").agg(F.min("entity").alias("entity")))
     # Weak spellings: all their keys are weak; the entity must be the only one they can mean.
-    rest = keys.join(by_key.select("sid"), "sid", "left_anti").select("sid", "key")
+    rest = cut(keys.join(by_key.select("sid"), "sid", "left_anti").select("sid", "key"))
     means = rel.filter(F.col("rel") == LEFT_WEAK).select(F.col("k1").alias("key"), F.col("k2").alias("other"), "exact").join(entity.select(F.col("key").alias("other"), "entity"), "other")
     # if the family name itself has entities that fit, near ones don't count
-    can = rest.join(means, "key").groupBy("sid", "exact").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
+    can = cut(rest.join(means, "key").groupBy("sid", "exact").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")))
     one = can.groupBy("sid").agg(F.max_by(F.struct("lo", "hi"), "exact").alias("x")).filter("x.lo = x.hi").select("sid", F.col("x.lo").alias("entity"))
     # one that can mean several stays by itself; those that can mean none, with one key, are an entity of their own
     unclear = can.select("sid").distinct().join(one.select("sid"), "sid", "left_anti").select("sid", F.col("sid").alias("entity"))
