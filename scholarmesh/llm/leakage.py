@@ -23,7 +23,7 @@ EDITS = 0.15
 #: Edits that the filter allows for in a stretch; each destroys at most SHINGLE shingles.
 FILTER_EDITS = 4
 #: Items handled in one pass over the corpus; more are taken in blocks of this size, so what is sent to executors is bounded.
-BLOCK_ITEMS = 20_000
+BLOCK_ITEMS = 4_000
 
 _WORD = re.compile(r"[^\W_]+")
 _PLAIN = re.compile(r"[a-z0-9]+")
@@ -182,7 +182,7 @@ def _stretch(item: np.ndarray, doc: np.ndarray) -> bool:
 
 def _item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
     block: list = []
-    for r in items.select("item_id", "text").dropDuplicates(["item_id"]).toLocalIterator():
+    for r in items.filter("item_id is not null").groupBy("item_id").agg(F.min("text").alias("text")).toLocalIterator():
         block.append((r["item_id"], r["text"]))
         if len(block) == BLOCK_ITEMS:
             yield block
@@ -209,7 +209,7 @@ def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
     shingles of every 30-word stretch are ordered by rarity and the necessary prefix kept; in a second pass documents
     that share prefix shingles within the positional bounds are verified by exact alignment. Items are a stated query
     set, taken in blocks of BLOCK_ITEMS, so what is broadcast is bounded; the corpus is never shuffled.
-    Null, empty and short texts hold and match nothing; repeated rows count once; an item id with several texts keeps one.
+    Null, empty and short texts hold and match nothing; repeated rows count once; an item id with several texts keeps the first in order.
     """
     spark = documents.sparkSession
     docs = documents.select("doc_id", "text").filter("doc_id is not null and text is not null")

@@ -18,7 +18,7 @@ TITLES = frozenset("dr prof professor phd mr mrs ms miss sir dame ing dipl md ms
 PARTICLES = frozenset("van von de der den del della di da dos du la le ter ten zu zur vom af av el al bin ibn".split())
 # Familiar forms of given names, each with the names that it may stand for.
 FAMILIAR = {
-    "abe": "abraham", "aga": "agnieszka agata", "al": "albert alan alfred", "alex": "alexander alexandra alexandre", "andy": "andrew andreas", "ari": "ariadne", "bart": "bartholomew bartholomeus", "bea": "beatrice beatrix", "ben": "benjamin benedict", "bert": "albert hubert robert", "beth": "elisabeth elizabeth", "betty": "elisabeth elizabeth", "bill": "william", "billy": "william", "bob": "robert", "bobby": "robert", "cathy": "catherine", "cesca": "francesca", "charlie": "charles charlotte", "chris": "christopher christian christina christine", "clem": "clementine clement", "conny": "cornelia constance konstantin", "connie": "cornelia constance", "dan": "daniel", "dave": "david", "debbie": "deborah", "des": "desmond", "dick": "richard", "dolly": "dolores dorothy", "don": "donald", "ed": "edmund edward edgar edwin", "eddie": "edmund edward", "eliza": "elisabeth elizabeth", "ella": "eleanor elisabeth", "fran": "francesca frances francis", "frank": "francis francisco franklin", "fred": "frederik frederick alfred", "freddy": "frederik frederick", "fritz": "friedrich frederik", "gina": "regina", "greg": "gregory", "gus": "augustin augustus gustav", "gwen": "gwendolyn", "hank": "henry", "hans": "johannes", "harry": "henry harold", "henny": "hendrika", "inge": "ingeborg", "jack": "john jonathan", "jan": "johannes", "jarek": "jaroslav", "jedrek": "andrzej", "jim": "james", "jo": "josephine johanna joanna", "joe": "joseph", "josie": "josephine", "jon": "jonathan", "jonny": "jonathan", "kate": "katherine catherine", "ken": "kenneth", "kit": "christopher", "kostja": "konstantin", "kuni": "kunigunde", "gunde": "kunigunde", "larry": "lawrence", "lana": "svetlana", "lena": "helena magdalena", "leo": "leonard leopold", "liz": "elisabeth elizabeth", "lisa": "elisabeth elizabeth", "lola": "dolores", "luda": "ludmila", "maggie": "margaret", "manu": "emmanuelle emmanuel manuel", "matt": "matthias matthew", "matze": "matthias", "meg": "margaret", "memo": "guillermo", "mick": "michael", "mike": "michael", "mila": "ludmila", "milla": "ludmila", "nacho": "ignacio", "nastja": "anastasia", "nastya": "anastasia", "ned": "edmund edward", "nel": "pieternel cornelia", "nele": "cornelia", "nettie": "antoinette", "nick": "nicholas", "nico": "nicholas", "paco": "francisco", "pancho": "francisco", "pat": "patricia patrick", "patty": "patricia", "peggy": "margaret", "pista": "istvan", "pepe": "jose", "pete": "peter", "przem": "przemek", "przemek": "przemyslaw", "rai": "rainer", "ray": "raymond", "rich": "richard", "rick": "richard", "rika": "hendrika frederika", "rob": "robert", "robbie": "robert", "ron": "ronald", "ronnie": "veronique ronald", "sal": "salvatore", "sam": "samantha samuel", "sandy": "alexander alexandra", "sasha": "alexander alexandra", "stan": "stanislav stanley", "steffi": "stephanie", "steph": "stephanie", "steve": "steven stephen", "sue": "susan", "sveta": "svetlana", "tad": "thaddeus", "ted": "edward theodore thaddeus", "teddy": "edward theodore", "tim": "timothy", "tina": "christina valentina martina", "tom": "thomas", "toni": "antoinette antonia", "tony": "anthony", "totte": "ottoline", "trish": "patricia", "trixie": "beatrice", "ulli": "ulrike ulrich", "uli": "ulrike ulrich", "uschi": "ursula", "ursel": "ursula", "val": "valentina valerie", "vera": "veronique", "vicky": "victoria", "vince": "vincent", "wil": "william wilhelm", "will": "william", "wolf": "wolfgang", "zach": "zacharias zachary", "zsuzsa": "zsuzsanna", "zsuzsi": "zsuzsanna",
+    "abe": "abraham", "aga": "agnieszka agata", "al": "albert alan alfred", "alex": "alexander alexandra alexandre", "andy": "andrew andreas", "ari": "ariadne", "bart": "bartholomew bartholomeus", "bea": "beatrice beatrix", "ben": "benjamin benedict", "bert": "albert hubert robert", "beth": "elisabeth elizabeth", "betty": "elisabeth elizabeth", "bill": "william", "billy": "william", "bob": "robert", "bobby": "robert", "cathy": "catherine", "cesca": "francesca", "charlie": "charles charlotte", "chris": "christopher christian christina christine", "clem": "clementine clement", "conny": "cornelia constance konstantin", "connie": "cornelia constance", "dan": "daniel", "dave": "david", "debbie": "deborah", "des": "desmond", "dick": "richard", "dolly": "dolores dorothy", "don": "donald", "ed": "edmund edward edgar edwin", "eddie": "edmund edward", "eliza": "elisabeth elizabeth", "ella": "eleanor elisabeth", "fran": "francesca frances francis", "frank": "francis francisco franklin", "fred": "frederik frederick alfred", "freddy": "frederik frederick", "fritz": "friedrich frederik", "gina": "regina", "greg": "gregory", "gus": "augustin augustus gustav", "gwen": "gwendolyn", "hank": "henry", "hans": "johannes", "harry": "henry harold", "henny": "hendrika", "inge": "ingeborg", "jack": "john jonathan", "jan": "johannes", "jarek": "jaroslav", "jedrek": "andrzej", "jim": "james", "jo": "josephine johanna joanna", "joe": "joseph", "josie": "josephine", "jon": "jonathan", "jonny": "jonathan", "kate": "katherine catherine", "ken": "kenneth", "kit": "christopher", "kostja": "konstantin", "kuni": "kunigunde", "gunde": "kunigunde", "larry": "lawrence", "lana": "svetlana", "lena": "helena magdalena", "leo": "leonard leopold", "liz": "elisabeth elizabeth", "lisa": "elisabeth elizabeth", "lola": "dolores", "luda": "ludmila", "maggie": "margaret", "manu": "emmanuelle emmanuel manuel", "matt": "matthias matthew", "matze": "matthias", "meg": "margaret", "memo": "guillermo", "mick": "michael", "mike": "michael", "mila": "ludmila", "milla": "ludmila", "nacho": "ignacio", "nastja": "anastasia", "nastya": "anastasia", "ned": "edmund edward", "nel": "pieternel cornelia", "nele": "cornelia", "nettie": "antoinette", "nick": "nicholas", "nico": "nicholas", "paco": "francisco", "pancho": "francisco", "pat": "patricia patrick", "patty": "patricia", "peggy": "margaret", "pista": "istvan", "pepe": "jose", "pete": "peter", "przem": "przemek", "przemek": "przemyslaw", "rai": "rainer", "ray": "raymond", "rich": "richard", "rick": "richard", "rika": "hendrika frederika", "rob": "robert", "robbie": "robert", "ron": "ronald", "ronnie": "veronique ronald", "sal": "salvatore", "sam": "samantha samuel", "sandy": "alexander alexandra", "sasha": "alexander alexandra", "stan": "stanislav stanley", "steffi": "stephanie", "steph": "stephanie", "steve": "steven stephen", "sue": "susan", "sveta": "svetlana", "tad": "thaddeus", "ted": "edward theodore thaddeus", "teddy": "edward theodore", "tim": "timothy", "tina": "christina valentina martina", "tom": "thomas", "toni": "antoinette antonia", "tony": "anthony", "totte": "ottoline", "trish": "patricia", "trixie": "beatrice", "ulli": "ulrike ulrich", "uli": "ulrike ulrich", "uschi": "ursula", "ursel": "ursula", "val": "valentina valerie", "vera": "veronique", "vicky": "victoria", "vince": "vincent", "wil": "william wilhelm", "will": "william", "wolf": "wolfgang", "zach": "zacharias zachary", "zack": "zacharias zachary", "gunni": "guenther gunnar", "gundi": "kunigunde", "freek": "frederik", "toto": "salvatore antonio", "otti": "ottoline ottilie", "sascha": "alexander alexandra", "benny": "benjamin benedict", "bice": "beatrice", "zsuzsa": "zsuzsanna", "zsuzsi": "zsuzsanna",
 }
 STANDS_FOR = {k: frozenset(v.split()) for k, v in FAMILIAR.items()}
 # Letters that decomposition leaves as they are.
@@ -65,31 +65,31 @@ def given_of(us: list[str]) -> str:
     return us[0].split("-")[0] if us else ""
 
 
-def readings(first: str | None, last: str | None, pub: str | None) -> list[tuple[str, str, bool]]:
-    """(given, family, sure) of a record, from its columns and from its publication name. sure: the order of the two is
-    as the record says; else it's open."""
+def readings(first: str | None, last: str | None, pub: str | None) -> list[tuple[str, str, bool, str, str]]:
+    """(given, family, sure, given if turned, family if turned) of a record, from its columns and from its publication
+    name. sure: the order of the two is as the record says; else it's open."""
     f, la = units(folded(first)), units(folded(last))
-    out: list[tuple[str, str, bool]] = []
+    out: list[tuple[str, str, bool, str, str]] = []
+    add = lambda g, fam, sure: out.append((given_of(g), family_of(fam), sure, given_of(fam), family_of(g)))
     family = family_of(la)
     if family:
-        out.append((given_of(f), family, True))
+        add(f, la, True)
     elif f:
-        out.append(("", family_of(f), False))
+        add([], f, False)
     text = folded(pub)
     parts = [p for p in (units(x) for x in re.split(r"[,;]", text)) if p]
     if len(parts) >= 2:
-        out.append((given_of(parts[1]), family_of(parts[0]), True))
+        add(parts[1], parts[0], True)
     elif parts:
         us = [u for u in parts[0] if u not in PARTICLES]
         long, short = [u for u in us if len(u) > 1], [u for u in us if len(u) == 1]
         if len(long) == 1 or short and us and (len(us[-1]) == 1 or len(us[0]) == 1) and len(long) > 2:
-            out.append((short[0] if short else "", family_of(long), bool(short)))
-        elif len(long) == 2:
-            out.append((given_of(long[:1]), family_of(long[1:]), False))
-        elif len(long) > 2:
-            tail = family_of(long[1:])
-            out.append((given_of(long[-1:]), family_of(long[:-1]), False) if family and family_of(long[:-1]) == family else (given_of(long[:1]), tail, False))
-    return [(g, fam, sure) for g, fam, sure in dict.fromkeys(out) if fam]
+            add(short[:1], long, bool(short))
+        elif len(long) > 2 and family and family_of(long[:-1]) == family:
+            add(long[-1:], long[:-1], False)
+        elif len(long) >= 2:
+            add(long[:1], long[1:], False)
+    return [r for r in dict.fromkeys(out) if r[1]]
 
 
 def osa(a: str, b: str, most: int) -> int:
@@ -272,13 +272,13 @@ def trie_join(names: DataFrame, name: str) -> DataFrame:
 
 # --- records ---------------------------------------------------------------------------------------------------------
 
-_READING = T.StructType([T.StructField("sid", T.LongType()), T.StructField("given", T.StringType()), T.StructField("family", T.StringType()), T.StructField("sure", T.BooleanType())])
+_READING = T.StructType([T.StructField("sid", T.LongType()), T.StructField("given", T.StringType()), T.StructField("family", T.StringType()), T.StructField("sure", T.BooleanType()), T.StructField("turned_given", T.StringType()), T.StructField("turned_family", T.StringType())])
 
 
 def _read_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = [(s, *r) for s, f, la, p in zip(pdf["sid"], pdf["firstname"], pdf["lastname"], pdf["publication_name"]) for r in readings(f, la, p)]
-        yield pd.DataFrame(out, columns=["sid", "given", "family", "sure"])
+        yield pd.DataFrame(out, columns=["sid", "given", "family", "sure", "turned_given", "turned_family"])
 
 
 def name_keys(spellings: DataFrame) -> DataFrame:
@@ -289,9 +289,16 @@ def name_keys(spellings: DataFrame) -> DataFrame:
     use = words.groupBy("w.word").agg(F.ln((F.sum("w.g") + 0.5) / (F.sum("w.f") + 0.5)).alias("lean"))
     g, f = use.select(F.col("word").alias("given"), F.col("lean").alias("lg")), use.select(F.col("word").alias("family"), F.col("lean").alias("lf"))
     x = r.join(g, "given", "left").join(f, "family", "left").fillna(0.0, ["lg", "lf"])
-    turn = (F.length("given") > 1) & (F.col("lf") > F.col("lg") + F.when(F.col("sure"), 1.0).otherwise(0.0))
-    split = lambda c: F.element_at(F.split(c, " "), 1)
-    return x.select("sid", F.when(turn, split(F.col("family"))).otherwise(F.col("given")).alias("given"), F.when(turn, F.col("given")).otherwise(F.col("family")).alias("family")).distinct()
+    turn = (F.col("turned_family") != "") & (F.col("lf") > F.col("lg") + F.when(F.col("sure"), 1.0).otherwise(0.0))
+    return x.select("sid", F.when(turn, F.col("turned_given")).otherwise(F.col("given")).alias("given"), F.when(turn, F.col("turned_family")).otherwise(F.col("family")).alias("family")).distinct()
+
+
+def halves(nodes: DataFrame, least: int = 5) -> DataFrame:
+    """(a, b): family names of two words, and the first of them where it is a family name of the table by itself: the
+    second half of a double name is often left out, the first hardly ever."""
+    two = nodes.select("family").distinct().filter(F.size(F.split("family", " ")) == 2)
+    parts = two.select(F.col("family").alias("a"), F.element_at(F.split("family", " "), 1).alias("b")).filter(F.length("b") >= least)
+    return parts.join(nodes.select(F.col("family").alias("b")).distinct(), "b").select("a", "b").distinct()
 
 
 @F.pandas_udf(T.IntegerType())
@@ -322,6 +329,7 @@ def same_person(person: DataFrame) -> DataFrame:
     keys = stored(keys)
     nodes = cut(keys.select("key", "given", "family").distinct())
     near = cut(trie_join(nodes, "family"))
+    near = near.unionByName(halves(nodes))
     near = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(nodes.select(F.col("family").alias("a"), F.col("family").alias("b")).distinct())
     left = nodes.select(F.col("key").alias("k1"), F.col("given").alias("g1"), F.col("family").alias("a"))
     right = nodes.select(F.col("key").alias("k2"), F.col("given").alias("g2"), F.col("family").alias("b"))
