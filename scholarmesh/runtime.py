@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,11 +23,16 @@ def read(spark: SparkSession, directory: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; where that is unset (tests), a temporary one."""
+    """The folder that all executors share, from spark.checkpoint.dir; where that is unset and Spark runs in one process
+    (tests), a temporary one. A cluster without the setting is an error, as its executors share no temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not named:
-        named = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="scholarmesh-")
+        named = sc.getCheckpointDir()
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="scholarmesh-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named
