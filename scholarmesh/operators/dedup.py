@@ -92,9 +92,11 @@ def deduplicate_persons(person: DataFrame) -> DataFrame:
 
 
 def clean_laboratory(c: Column) -> Column:
-    t = F.trim(F.replace(F.trim(c), F.lit("-"), F.lit(" ")))
+    """Hyphens as blanks, and three lower-case words for institute as one; null if empty."""
+    t = F.trim(c)
+    t = F.when(F.contains(t, F.lit("-")), S.rejoin(t, "-", " ")).otherwise(t)
     for word in ("institute", "instituut", "istituto"):
-        t = F.regexp_replace(t, f"(?i){word}", "institut")
+        t = F.replace(t, F.lit(word), F.lit("institut"))
     return S.nonempty(t)
 
 

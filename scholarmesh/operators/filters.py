@@ -24,9 +24,10 @@ def by_type(pairs: DataFrame, types: DataFrame) -> DataFrame:
 
 
 def by_valid_id(pairs: DataFrame, valid: DataFrame) -> DataFrame:
+    columns = pairs.columns
     for k in _PAIR:
         pairs = pairs.join(valid.select(F.col("document_version_id").alias(k)), k, "left_semi")
-    return pairs
+    return pairs.select(*columns)
 
 
 def by_date(pairs: DataFrame, dates: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def person_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _labs(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("Institute of "), F.col("c_mktsegment"), F.lit("-"), (F.col("c_custkey") % 7).cast("string")).alias("name"), F.col("c_nationkey").cast("string").alias("country"))
+    return read(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("institute of "), F.col("c_mktsegment"), F.lit("-"), (F.col("c_custkey") % 7).cast("string")).alias("name"), F.col("c_nationkey").cast("string").alias("country"))
 
 
 def laboratory_links(spark: SparkSession, d: str) -> DataFrame:
