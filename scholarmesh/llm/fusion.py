@@ -46,7 +46,7 @@ def wide(scores: DataFrame, stands: DataFrame, group: str, item: str, kind: str,
     """One row per (group, item) with a standing of each kind, s0, s1, ...; 0 where it has none."""
     cols = [F.coalesce(F.max(F.when(F.col(kind) == k, F.col("standing"))), F.lit(0.0)).alias(f"s{i}") for i, k in enumerate(kinds)]
     every = scores.select(group, item, kind).join(stands, [group, item, kind], "left")
-    return every.groupBy(group, item).agg(*cols)
+    return every.groupBy(group, item).agg(*cols) if cols else every.select(group, item).distinct()
 
 
 def first_component(table: DataFrame, n: int, directions: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,12 +55,14 @@ def first_component(table: DataFrame, n: int, directions: list[int]) -> tuple[np
     The first eigenvector of the correlation matrix, its sign turned to the declared directions; a loading that then
     still opposes its direction counts 0, as does a constant column. Without rows all loadings are equal.
     """
+    if n == 0:
+        return np.zeros(0), np.ones(0), np.zeros(0)
     col = lambda i: F.col(f"s{i}")
     sums = [F.sum(col(i)).alias(f"m{i}") for i in range(n)] + [F.sum(col(i) * col(j)).alias(f"p{i}_{j}") for i in range(n) for j in range(i, n)]
     r = table.agg(F.count("*").alias("n"), *sums).first()
     want = np.array(directions, float)
-    if n == 0 or not r["n"]:
-        return np.zeros(n), np.ones(n), want / max(1.0, np.sqrt(n))
+    if not r["n"]:
+        return np.zeros(n), np.ones(n), want / np.sqrt(n)
     mean = np.array([r[f"m{i}"] for i in range(n)]) / r["n"]
     cov = np.array([[r[f"p{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)]) / r["n"] - np.outer(mean, mean)
     std = np.sqrt(np.maximum(np.diag(cov), 0))

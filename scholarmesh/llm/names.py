@@ -199,7 +199,7 @@ def _cuts(n: int, k: int) -> list[tuple[int, int]]:
 
 def lev_edits(n: int) -> int:
     """The automaton's bound for a word: plain edits, of which a swap of neighbours takes two."""
-    return 0 if family_edits(n) == 0 else 2 if n >= 6 else 1
+    return 2 if family_edits(n) else 0
 
 
 def shards(name: str) -> tuple[list[str], list[str]]:
@@ -251,7 +251,8 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def trie_join(names: DataFrame, name: str) -> DataFrame:
-    """(a, b): distinct names, a < b, within the edits that their length allows; see FAMILY_EDITS.
+    """(a, b): distinct names, a < b, within the edits that their length allows (see FAMILY_EDITS; a swap of neighbours is
+    one) and within the automaton's bound of two plain edits.
 
     Names are sharded into tries by their segments, so that names within the bound meet in a shard, and no table of all
     names is sent anywhere. A shard with more than TRIE_NAMES names is split into several tries, each visited by all of
