@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from scholarmesh.runtime import running
 from scholarmesh.sources.schemas import EVIDENCE, match_id, oriented, pair_id, unpivoted
 
 SHARES = (10, 20, 50, 80, 90)
@@ -18,13 +19,14 @@ def normalised(scores: DataFrame, percentile: int = 99, value: float = 100.0, le
     """Scores scaled so that the one at rank count * (100 - percentile) / 100 (whole division, from the top, 0 first) is
     `value`; score_factor tells by how much. Up to `least` rows, or with a pivot of 0, unchanged with factor 1.
 
-    The pivot comes from counts per distinct score, so no task sorts all rows."""
+    The pivot comes from distributed prefix sums over counts per distinct score, so no task sorts all rows."""
     n = scores.count()
     if n <= least:
         return scores.withColumn("score_factor", F.lit(1.0))
     rank = n * (100 - percentile) // 100
-    top = scores.orderBy(F.desc("score")).select("score").limit(rank + 1)  # Spark takes the top rank + 1 of each partition
-    pivot = top.agg(F.min("score")).first()[0]
+    levels = scores.filter("score is not null").groupBy("score").agg(F.count("*").alias("n"))
+    at = running(levels, [], [F.desc("score")], F.col("n"), "before").filter((F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)).first()
+    pivot = at["score"] if at else None
     factor = value / pivot if pivot else 1.0
     return scores.withColumn("score", F.col("score") * factor).withColumn("score_factor", F.lit(factor))
 
