@@ -26,6 +26,7 @@ FILTER_EDITS = 4
 BLOCK_ITEMS = 4_000
 
 _WORD = re.compile(r"[^\W_]+")
+_MARKS = re.compile("[" + "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.combining(c)) + "]+")
 _PLAIN = re.compile(r"[a-z0-9]+")
 
 
@@ -36,7 +37,7 @@ def words(text: str | None) -> list[str]:
     if text.isascii():
         return _PLAIN.findall(text.lower())
     s = unicodedata.normalize("NFKD", transducer()(text)).casefold()
-    return _WORD.findall("".join(c for c in s if not unicodedata.combining(c)) if not s.isascii() else s)
+    return _WORD.findall(_MARKS.sub("", s))
 
 
 class Items:

@@ -1,5 +1,7 @@
 """The same results in SQL that DuckDB runs, where SQL can express them and is fast enough on whole tables."""
 
+from scholarmesh.llm.visual import mapping
+
 GROUPS = """
 edge as (
   select lookup_id a, person_id b from person_deduplication_lookup where lookup_id <> person_id
@@ -20,6 +22,20 @@ field as (
 """
 
 
+def _look() -> str:
+    """The canonical form as an expression: single characters by translate, others by replace."""
+    rules = mapping()
+    one = {a: b for a, b in rules.items() if len(b) == 1}
+    gone = [a for a, b in rules.items() if b == ""]
+    x = "nfc_normalize(text)"
+    for a, b in rules.items():
+        if len(b) > 1:
+            x = f"replace({x}, '{a}', '{b}')"
+    quoted = lambda s: s.replace("'", "''")
+    x = f"translate({x}, '{quoted(''.join(one) + ''.join(gone))}', '{quoted(''.join(one.values()))}')"
+    return f"trim(regexp_replace(nfc_normalize({x}), ' +', ' ', 'g'))"
+
+
 def oracle_sql() -> dict[str, str]:
     top = """
 with e as (select document_version_id, score_type, unnest(match_ids) match_id, unnest(scores) score from match_candidate_stats),
@@ -35,6 +51,17 @@ s as (select distinct d, hash(substring(text, i, 300)) h from t, unnest(range(1,
 m as (select h from s group by h having count(*) > 1),
 k as (select d, h from s semi join m using (h))
 select distinct a.d document_version_id1, b.d document_version_id2 from k a join k b on a.h = b.h and a.d < b.d
+""",
+        "p2_shared": """
+with t as (select distinct document_version_id d, text from full_text),
+x as (select d, text from t where length(text) >= 300),
+s as (select d, i, hash(substring(text, i, 300)) h from x, unnest(range(1, length(text) - 298)) u(i)),
+m as (select h from s group by h having min(d) < max(d)),
+p as (select distinct d, i from s where h in (select h from m)),
+g as (select d, least(300, coalesce(lead(i) over (partition by d order by i) - i, 300)) adds from p),
+c as (select d, sum(adds)::bigint c from g group by d),
+n as (select d, coalesce(max(length(text)), 0)::bigint n from t where d is not null group by d)
+select d document_version_id, n n_chars, coalesce(least(c, n), 0)::bigint shared_chars, case when n > 0 then coalesce(least(c, n), 0) / n else 0.0 end::double shared_share from n left join c using (d)
 """,
         "p3_found": """
 with q as (select distinct document_version_id p from ranking_query),
@@ -54,6 +81,11 @@ with q as (select score_type, quantile_cont(median, 0.9) q from match_candidate_
 select distinct document_version_id, score_type from match_candidate_stats join q using (score_type) where median > 4 * q
 """,
         "p6_exact": "select score_type, count(percentile10_count) n, quantile_cont(percentile10_count::double, 0.9) percentile from match_candidate_stats group by score_type",
+        "p10_found": f"""
+with d as (select distinct doc_id, text, {_look()} form from documents where length(text) > 5)
+select distinct a.doc_id doc_id1, b.doc_id doc_id2 from d a join d b on a.form = b.form and a.doc_id < b.doc_id and a.text <> b.text
+""",
+        "p10_canonical": f"select doc_id, {_look()} canonical_text, (text is distinct from {_look()}) changed from documents",
         "p7_found": f"""
 with recursive {GROUPS}, {USABLE}
 select group_id person_id, f field_name, v field_value from field
