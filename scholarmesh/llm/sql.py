@@ -61,7 +61,7 @@ p as (select distinct d, i from s where h in (select h from m)),
 g as (select d, least(300, coalesce(lead(i) over (partition by d order by i) - i, 300)) adds from p),
 c as (select d, sum(adds)::bigint c from g group by d),
 n as (select d, coalesce(max(length(text)), 0)::bigint n from t where d is not null group by d)
-select d document_version_id, n n_chars, coalesce(least(c, n), 0)::bigint shared_chars, case when n > 0 then coalesce(least(c, n), 0) / n else 0.0 end::double shared_share from n left join c using (d)
+select d document_version_id, n n_chars, least(coalesce(c, 0), n)::bigint shared_chars, case when n > 0 then least(coalesce(c, 0), n) / n else 0.0 end::double shared_share from n left join c using (d)
 """,
         "p3_found": """
 with q as (select distinct document_version_id p from ranking_query),
