@@ -75,7 +75,9 @@ class Transducer:
         spaces = re.escape("".join(a for a, b in self.rules.items() if b == " "))
         single = re.escape("".join(a for a, b in self.rules.items() if b != " "))
         # [^\W\d_] etc. would miss bases such as digits under a mark, hence any character before a tail
-        self.pattern = re.compile(f"[{spaces}]+(?:{tail}*[{spaces}]+)*{tail}*|[^{spaces}]{tail}+|[{single}]", re.DOTALL)
+        odd = re.escape("".join(a for a, b in self.rules.items() if b == " " and a != " "))
+        # a single plain blank, which is most of them, needs no rewriting
+        self.pattern = re.compile(f"[{spaces}](?:{tail}*[{spaces}])+{tail}*|[{odd}]{tail}*| {tail}+|[^{spaces}]{tail}+|[{single}]", re.DOTALL)
         self.memo: dict[str, str] = {}
 
     def _of(self, m: re.Match) -> str:
