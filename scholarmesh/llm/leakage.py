@@ -157,18 +157,19 @@ def held(item: np.ndarray, doc: np.ndarray, ip: np.ndarray, dp: np.ndarray) -> b
 def _stretch(item: np.ndarray, doc: np.ndarray) -> bool:
     """Whether some item words i..j of length >= STRETCH match a piece of doc with at most EDITS * (j - i) edits.
 
-    For each first item word, edit distances of item[i:j] against the best-fitting piece of doc that starts anywhere:
-    one row per j, vectorised over the document. Rows stop when every entry is beyond what any longer stretch allows.
+    A stretch of twice STRETCH or more has a half, long enough itself, with no larger share of edits; so only lengths up
+    to 2 * STRETCH - 1 are looked at, of which the first STRETCH words miss at most EDITS of that length. From each first
+    word that allows this, edit distances of item[i:j] against the best-fitting piece of doc that starts anywhere: one row
+    per j, vectorised over the document, until every entry is beyond what any longer stretch allows.
     """
     n, m = len(item), len(doc)
+    most = int(EDITS * (2 * STRETCH - 1))
     equal = item[:, None] == doc[None, :]
+    there = np.concatenate(([0], np.cumsum(equal.any(axis=1))))
     steps = np.arange(m + 1)
-    starts = [i for i in range(n - STRETCH + 1) if i == 0 or equal[i].any()]
-    for i in starts:
-        if not equal[i].any():
-            continue
+    for i in np.flatnonzero(there[STRETCH:] - there[:-STRETCH] >= STRETCH - most):
         row = np.zeros(m + 1, dtype=np.int64)  # any start in doc is free
-        for j in range(i, n):
+        for j in range(i, min(n, i + 2 * STRETCH - 1)):
             nxt = np.empty_like(row)
             nxt[0] = j - i + 1
             nxt[1:] = np.minimum(row[:-1] + ~equal[j], row[1:] + 1)
@@ -177,7 +178,7 @@ def _stretch(item: np.ndarray, doc: np.ndarray) -> bool:
             least, length = int(row.min()), j - i + 1
             if length >= STRETCH and least <= EDITS * length:
                 return True
-            if least > EDITS * (n - i):
+            if least > most:
                 break
     return False
 
