@@ -15,7 +15,7 @@ def test_stem_departs_from_the_paper():
     assert stem("feed") == "fe"  # "ed" comes off first
 
 
-@pytest.mark.parametrize(("text", "want"), [("x 10.5291/ILL -DATA.8-76-780 y", ["10.5291/ILL-DATA.8-76-780"]), ("see 10.1000/abc.1, and", ["10.1000/abc.1"]), (None, []), ("", [])])
+@pytest.mark.parametrize(("text", "want"), [(f"x {identifiers.DATA_PREFIX} -DATA.8-76-780 y", [f"{identifiers.DATA_PREFIX}-DATA.8-76-780"]), ("see 10.1000/abc.1, and", ["10.1000/abc.1"]), (None, []), ("", [])])
 def test_dois(text, want):
     assert identifiers.repaired_dois(text) == want
 

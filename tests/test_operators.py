@@ -162,26 +162,26 @@ def test_references(spark):
 
 
 def test_terms_and_mentions(spark):
-    t = spark.createDataFrame([(1, "the thermal expansions grow near D17 lab"), (2, None)], "document_version_id long, text string")
+    t = spark.createDataFrame([(1, "the thermal expansions grow near K19 lab"), (2, None)], "document_version_id long, text string")
     d = spark.createDataFrame([(7, "thermal expansion", "x", True)], "tag_id long, name string, tag string, use_stemming boolean")
     i = analysers.term_index(t, d)
     assert rows(i.select("document_version_id", "position", "n", "tag_id")) == [(1, 1, 2, 7)]
     assert analysers.term_contexts(i, t, 1).first().sentence == ["the", "thermal", "expansions", "grow"]
-    m = analysers.code_mentions(t, spark.createDataFrame([(4, "D17")], "entity_id long, code string"), 1).first()
-    assert (m.entity_id, m.position, m.context) == (4, 5, ["near", "d17", "lab"])
+    m = analysers.code_mentions(t, spark.createDataFrame([(4, "K19")], "entity_id long, code string"), 1).first()
+    assert (m.entity_id, m.position, m.context) == (4, 5, ["near", "k19", "lab"])
 
 
 def test_instruments(spark):
-    texts = spark.createDataFrame([(i, f"beam at d17 grenoble reflectometer run {i} sample") for i in range(30)] + [(99, "nothing here")], "document_version_id long, text string")
-    cat = spark.createDataFrame([(4, "D17", 0, "D17", "ILL lab", "ILL", "Grenoble", "France", ["reflectometer"])], "instrument_id long, instrument_code string, instrument_confidence int, instrument_name string, laboratory_name string, laboratory_short_name string, laboratory_city string, laboratory_country string, scientific_technique array<string>")
-    codes = instruments.code_list(cat, spark.createDataFrame([(4, "seventeen")], "instrument_id long, alias string"))
-    assert rows(codes) == [("d17", 4, False), ("seventeen", 4, False)]
+    texts = spark.createDataFrame([(i, f"beam at k19 norvale reflectometer run {i} sample") for i in range(30)] + [(99, "nothing here")], "document_version_id long, text string")
+    cat = spark.createDataFrame([(4, "K19", 0, "K19", "North lab", "NL", "Norvale", "Pell", ["reflectometer"])], "instrument_id long, instrument_code string, instrument_confidence int, instrument_name string, laboratory_name string, laboratory_short_name string, laboratory_city string, laboratory_country string, scientific_technique array<string>")
+    codes = instruments.code_list(cat, spark.createDataFrame([(4, "nineteen")], "instrument_id long, alias string"))
+    assert rows(codes) == [("k19", 4, False), ("nineteen", 4, False)]
     dec = spark.createDataFrame([(i, 4, i % 2) for i in range(20)], "document_version_id long, entity_id long, decision int")
     m = instruments.labelled(instruments.mentions(texts, codes), dec)
     g, c = instruments.word_model(m, codes, ["at"]), instruments.word_model_by_code(m, ["at"])
     s = instruments.by_instrument(instruments.scored(m, cat, g, c), codes)
     r = s.filter("document_version_id = 1").first()
-    assert (r.laboratory_city_count, r.scientific_technique_count, r.confidence, r.known_codes) == (1, 1, 100, ["d17"]) and r.score >= 3
+    assert (r.laboratory_city_count, r.scientific_technique_count, r.confidence, r.known_codes) == (1, 1, 100, ["k19"]) and r.score >= 3
     model, accuracy = instruments.trained(s.withColumn("label", (F.col("confidence") / 100)).filter("document_version_id < 20"), trees=3, depth=3)
     p = instruments.final(model.transform(instruments.with_short_words(s)), spark.createDataFrame([(1, 4)], "document_version_id long, entity_id long"))
     assert 0 <= accuracy <= 1 and p.filter("confidence = 100").count() == 10
