@@ -61,6 +61,17 @@ def mapping() -> dict[str, str]:
     return {a: b for a, b in rules.items() if a != b or a == " "}
 
 
+@lru_cache(maxsize=1)
+def composed() -> dict[str, str]:
+    """Rules for look-alikes composed with their marks, as a text is before the rules apply: the Latin letter takes the marks."""
+    rules: dict[str, str] = {}
+    for c in map(chr, range(sys.maxunicode + 1)):
+        base, *marks = unicodedata.normalize("NFD", c)
+        if marks and (latin := CYRILLIC.get(base) or GREEK.get(base)):
+            rules[c] = unicodedata.normalize("NFC", latin + "".join(marks))
+    return rules
+
+
 class Transducer:
     """Rewrites a text grapheme cluster by grapheme cluster in one pass.
 
@@ -69,7 +80,7 @@ class Transducer:
     """
 
     def __init__(self) -> None:
-        self.rules = mapping()
+        self.rules = mapping() | composed()
         marks = "".join(chr(c) for c in range(0x300, 0x370) if chr(c) not in INVISIBLE) + "".join(map(chr, [*range(0x1AB0, 0x1AFF), *range(0x1DC0, 0x1E00), *range(0x20D0, 0x20F1), *range(0xFE20, 0xFE30)]))
         tail = f"[{re.escape(marks)}{re.escape(INVISIBLE)}]"
         spaces = re.escape("".join(a for a, b in self.rules.items() if b == " "))

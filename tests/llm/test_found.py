@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import unicodedata
 from collections import defaultdict
 
 import numpy as np
@@ -365,6 +366,16 @@ def test_p10_idempotent(text):
     assert visual.transducer()(once) == once and not set(once) & set(visual.INVISIBLE)
 
 
+@pytest.mark.parametrize("table", [visual.CYRILLIC, visual.GREEK])
+def test_p10_look_alikes_with_marks(table):
+    to = visual.transducer()
+    for a, b in table.items():
+        for marks in ("\u0308", "\u0300", "\u0301", "\u0306", "\u0323\u0308", "\u0308\u0301", "\u200b\u0308", "\u0345"):
+            for form in ("NFC", "NFD"):
+                assert to(unicodedata.normalize(form, a + marks)) == to(b + marks), (a, marks, form)
+    assert to("\u0451") == "\u00eb" and to("k\u043e\u0308nnen") == to("k\u00f6nnen") == "k\u00f6nnen" and to("\u0439") == "\u0439"
+
+
 def test_p10_pairs(spark):
     docs = [(1, "Neutron beam"), (2, "Neutron beam"), (3, "Neutron beam"), (4, "neutron beam"), (5, "Nеutron beam"), (6, None), (7, ""), (8, "ab c"), (9, "ab c"), (10, "cm² long"), (11, "cm2 long"), (1, "Neutron beam"), (12, "über mut"), (13, "über mut"), (14, "uber mut")]
     got = rows(visual.same_look(clashing(spark.createDataFrame(docs, "doc_id long, text string"))))
