@@ -82,7 +82,7 @@ def windows(texts: DataFrame, n: int = 4) -> DataFrame:
     return g.groupBy("document_version_id", "gram").agg(F.min("position").cast("long").alias("position"))
 
 
-def match_text(texts: DataFrame, n: int = 4, most: int = 100) -> DataFrame:
+def match_text(texts: DataFrame, n: int = 4, most: int = 2000) -> DataFrame:
     """(pair, doc1_position, doc2_position) of runs of n words that two to `most` - 1 documents share."""
     w = stored(windows(texts, n))
     some = w.groupBy("gram").agg(F.count("*").alias("k")).filter((F.col("k") > 1) & (F.col("k") < most)).select("gram")

@@ -130,7 +130,7 @@ class Settings:
     safe_divisor: int = 20
     score_factor: float = 3.0
     ngram: int = 4
-    most_documents: int = 100
+    most_documents: int = 2000
     least_cosine: float = 0.3
     picture_threshold: int = 30
     percentile: int = 99

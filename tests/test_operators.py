@@ -107,6 +107,11 @@ def test_statistics(spark):
     assert (r[1].percentile10_count, r[1].percentile90_count, r[1].percentile50) == (2, 2, 3.0)
 
 
+def test_text_runs_of_many_documents(spark):
+    t = spark.createDataFrame([(i, ["one", "two", "three", "four", f"own{i}"]) for i in range(150)], "document_version_id long, feature array<string>")
+    assert matchers.match_text(t).count() == 150 * 149 // 2 and matchers.match_text(t, most=150).count() == 0
+
+
 def test_total_statistics(spark):
     t = spark.createDataFrame([(10, 1, 2, "total", 4.0, 50.0), (11, 1, 3, "total", 4.0, 120.0), (12, 1, 4, "total", 2.0, 60.0)], "id long, document_version1_id long, document_version2_id long, score_type string, score double, contextual_score double")
     r = {x.document_version_id: x for x in statistics.total_statistics(t).collect()}[1]
