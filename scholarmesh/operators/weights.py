@@ -73,7 +73,7 @@ def _best(scores: DataFrame, kinds: Sequence[str], vectors: list[tuple[int, ...]
     return sorted(found)[:n]
 
 
-def search(pairs: DataFrame, labelled: DataFrame, kinds: Sequence[str], cells: int = 2, starts: int = 3, depth: int = 3, fixed: dict[str, float] | None = None) -> DataFrame:
+def search(pairs: DataFrame, labelled: DataFrame, kinds: Sequence[str], cells: int = 8, starts: int = 40, depth: int = 3, fixed: dict[str, float] | None = None) -> DataFrame:
     """(score_type, weight): the weights of least error found by descent from the best points of a coarse grid.
 
     The simplex is scored with steps of 1 / (2 * cells); from the best `starts` points the neighbourhood is scored and the

@@ -135,4 +135,7 @@ class Settings:
     picture_threshold: int = 30
     percentile: int = 99
     kinds: tuple[str, ...] = ("person", "formula", "text", "abstract", "cosine_title", "referenced_doi", "referenced_proposal_code", "laboratory", "picture", "instrument")
+    trained: tuple[str, ...] = ("person", "formula", "text", "cosine_title", "abstract", "picture", "instrument")
+    window: int = 8
+    areas: int = 40
     fixed_weights: tuple[tuple[str, float], ...] = (("doi", 1.0), ("proposal_code", 1.0))

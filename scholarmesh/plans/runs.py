@@ -56,7 +56,7 @@ def match(sources: Mapping[str, DataFrame], versions: DataFrame, s: Settings | N
 def optimise(candidates: DataFrame, labelled: DataFrame, types: DataFrame, s: Settings | None = None) -> dict[str, DataFrame]:
     """Keys: score_weight, total_match_candidate_stats."""
     s = s or Settings()
-    w = weights.search(candidates, labelled, s.kinds[:4], fixed=dict(s.fixed_weights))
+    w = weights.search(candidates, labelled, s.trained, s.window, s.areas, fixed=dict(s.fixed_weights))
     return {"score_weight": w, "total_match_candidate_stats": statistics.total_statistics(statistics.totals(candidates, w), types)}
 
 

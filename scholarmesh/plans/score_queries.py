@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarmesh.operators import statistics, weights
+from scholarmesh.plans.pipeline import Settings
 from scholarmesh.runtime import read
 from scholarmesh.sources import readers
 
@@ -74,7 +75,7 @@ def weight_evaluation(spark: SparkSession, d: str) -> DataFrame:
 
 
 def weight_search(spark: SparkSession, d: str) -> DataFrame:
-    return weights.search(_candidates(spark, d), read(spark, d, "labelled_pair"), TRAINED, fixed={"doi": 1.0, "proposal_code": 1.0})
+    return weights.search(_candidates(spark, d), read(spark, d, "labelled_pair"), Settings().trained, fixed={"doi": 1.0, "proposal_code": 1.0})
 
 
 QUERIES = {"score_normalised": normalised, "score_statistics": document_statistics, "score_totals": totals, "score_total_statistics": total_statistics, "score_list": score_list, "score_persisted": persisted, "score_rank_evaluation": rank_evaluation, "training_candidates": training_candidates, "training_scores": training_scores, "weight_evaluation": weight_evaluation, "weight_search": weight_search}

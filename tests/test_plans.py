@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scholarmesh.plans import registry, runs
-from scholarmesh.plans.pipeline import Config, Pipeline, PipelineError, Stage, standard_stages
+from scholarmesh.plans.pipeline import Config, Pipeline, PipelineError, Settings, Stage, standard_stages
 from scholarmesh.streaming import incremental
 
 
@@ -45,6 +45,18 @@ def test_match_run(spark):
     assert out["match_candidate_stats"].count() == 2
 
 
+def test_optimise_trains_all_kinds(spark):
+    kinds = ("person", "formula", "text", "cosine_title", "abstract", "picture", "instrument")
+    assert Settings().trained == kinds and (Settings().window, Settings().areas) == (8, 40)
+    pairs = [(p, k, float(p + i)) for i, k in enumerate(kinds) for p in (2, 3)] + [(4, "instrument", 5.0)]
+    c = spark.createDataFrame([((10**8 + p) * 100 + i, 1, p, "PUBLICATION", "PROPOSAL", k, s) for i, (p, k, s) in enumerate(pairs)], "id long, document_version1_id long, document_version2_id long, document1_type string, document2_type string, score_type string, score double")
+    labelled = spark.createDataFrame([(2, 1, True), (3, 1, False)], "proposal_id long, publication_id long, accepted boolean")
+    types = spark.createDataFrame([(1, "PUBLICATION"), (2, "PROPOSAL"), (3, "PROPOSAL"), (4, "PROPOSAL")], "document_version_id long, document_type string")
+    out = runs.optimise(c, labelled, types, Settings(window=1, areas=1))
+    assert {r.score_type for r in out["score_weight"].collect()} == {*kinds, "doi", "proposal_code"}
+    assert {r.document_version_id for r in out["total_match_candidate_stats"].collect()} == {1, 2, 3, 4}
+
+
 def test_streaming(spark, tmp_path):
     day = "2021-01-0{}"
     df = spark.createDataFrame([(1, "text", 2.0, day.format(1)), (1, "text", 2.0, day.format(1)), (2, "text", 3.0, day.format(2)), (3, "text", None, day.format(2))], "id long, score_type string, score double, t string").withColumn("created_at", F.to_timestamp("t")).drop("t")
