@@ -337,13 +337,20 @@ def same_person(person: DataFrame) -> DataFrame:
     pairs = left.join(near, "a").join(right, "b").filter("k1 <> k2")
     rel = stored(pairs.select("k1", "k2", "g1", "g2", (F.col("a") == F.col("b")).alias("exact"), _relation("g1", "g2").alias("rel")).filter(F.col("rel") != OTHER))
     # A key is weak if its given name can stand for another one of the same family name.
-    weak = cut(rel.filter((F.col("rel") == LEFT_WEAK)).select(F.col("k1").alias("key")).distinct())
+    weak = cut(rel.filter((F.col("rel") == LEFT_WEAK) & F.col("exact")).select(F.col("k1").alias("key")).distinct())
     strong_nodes = cut(nodes.select("key").join(weak, "key", "left_anti"))
     links = rel.filter(F.col("rel") == SAME).select("k1", "k2").join(weak.select(F.col("key").alias("k1")), "k1", "left_anti").join(weak.select(F.col("key").alias("k2")), "k2", "left_anti")
     own = cut(keys.select("sid", "key").join(strong_nodes, "key"))
     inside = own.groupBy("sid").agg(F.min("key").alias("k1"), F.max("key").alias("k2")).filter("k1 <> k2").select("k1", "k2")
     comps = hash_to_min(links.filter("k1 < k2").unionByName(inside), "k1", "k2").select(F.col("member").alias("key"), F.col("group_id").alias("entity"))
     entity = cut(strong_nodes.join(comps, "key", "left").select("key", F.coalesce("entity", "key").alias("entity")))
+    # Entities of which every name can stand for one of a near family name go to the only other entity they can mean.
+    loose = rel.filter(F.col("rel") == LEFT_WEAK).select(F.col("k1").alias("key"), F.lit(True).alias("loose")).distinct()
+    firm = cut(entity.join(loose, "key", "left").groupBy("entity").agg(F.bool_or(F.col("loose").isNull()).alias("firm")))
+    of = lambda key, name, kept: entity.join(firm.filter(kept), "entity").select(F.col("key").alias(key), F.col("entity").alias(name))
+    toward = rel.filter(F.col("rel") == LEFT_WEAK).select("k1", "k2").join(of("k1", "entity", "not firm"), "k1").join(of("k2", "other", "firm"), "k2")
+    moved = toward.groupBy("entity").agg(F.min("other").alias("lo"), F.max("other").alias("hi")).filter("lo = hi").select("entity", F.col("lo").alias("to"))
+    entity = cut(entity.join(moved, "entity", "left").select("key", F.coalesce("to", "entity").alias("entity")))
     by_key = cut(own.join(entity, "key").groupBy("sid").agg(F.min("entity").alias("entity")))
     # Weak spellings: all their keys are weak; the entity must be the only one they can mean.
     rest = cut(keys.join(by_key.select("sid"), "sid", "left_anti").select("sid", "key"))
@@ -351,8 +358,16 @@ def same_person(person: DataFrame) -> DataFrame:
     # if the family name itself has entities that fit, near ones don't count
     can = cut(rest.join(means, "key").groupBy("sid", "exact").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")))
     one = can.groupBy("sid").agg(F.max_by(F.struct("lo", "hi"), "exact").alias("x")).filter("x.lo = x.hi").select("sid", F.col("x.lo").alias("entity"))
-    # one that can mean several stays by itself; those that can mean none, with one key, are an entity of their own
-    unclear = can.select("sid").distinct().join(one.select("sid"), "sid", "left_anti").select("sid", F.col("sid").alias("entity"))
+    # those that can mean several are an entity by given name, if it's more than initials, else each by itself; those that
+    # can mean none, with one key, are an entity of their own
+    several = can.select("sid").distinct().join(one.select("sid"), "sid", "left_anti")
+    full = cut(rest.join(several, "sid").join(nodes.filter(F.col("given").rlike(r"\S{2}")).select("key"), "key").select("sid", "key"))
+    least = full.groupBy("sid").agg(F.min("key").alias("k1"))
+    alike = rel.filter(F.col("rel") == SAME).select("k1", "k2").filter("k1 < k2").join(full.select(F.col("key").alias("k1")).distinct(), "k1").join(full.select(F.col("key").alias("k2")).distinct(), "k2").select("k1", "k2")
+    shared = least.join(full, "sid").filter("k1 <> key").select("k1", F.col("key").alias("k2"))
+    named = hash_to_min(alike.unionByName(shared), "k1", "k2").select(F.col("member").alias("k1"), F.col("group_id").alias("entity"))
+    by_name = least.join(named, "k1", "left").select("sid", F.coalesce("entity", "k1").alias("entity"))
+    unclear = several.join(by_name, "sid", "left").select("sid", F.coalesce("entity", "sid").alias("entity"))
     alone = rest.join(can.select("sid").distinct(), "sid", "left_anti").groupBy("sid").agg(F.min("key").alias("entity")).unionByName(unclear)
     meant = by_key.unionByName(one).unionByName(alone)
     return rows.select("id", "sid").join(meant, "sid")

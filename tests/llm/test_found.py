@@ -167,6 +167,19 @@ def test_p4_people(spark):
     assert got == want  # 19 could be Maria or Monika; nobody else is linked
 
 
+@pytest.mark.parametrize("family", ["Kovalenko", "Kovalenka"])
+def test_p4_one_key_two_longer_names(spark, family):
+    people = [(1, "Annabel", "Kovalenko"), (2, "Annalena", "Kovalenko"), (3, "Anna", family), (4, "ANNA", family.upper()), (5, "A.", family), (6, "A", family)]
+    got = rows(names.name_variants(spark.createDataFrame([(*p, None) for p in people], "id long, firstname string, lastname string, publication_name string")))
+    assert (3, 4) in got and not {(1, 2), (1, 3), (2, 3), (1, 4), (2, 4)} & got
+
+
+def test_p4_one_longer_name_of_a_near_family(spark):
+    people = [(1, "Annabel", "Kovalenko"), (2, "Anna", "Kovalenka"), (3, "A.", "Kovalenka")]
+    got = rows(names.name_variants(spark.createDataFrame([(*p, None) for p in people], "id long, firstname string, lastname string, publication_name string")))
+    assert (1, 2) in got
+
+
 def test_p4_empty(spark):
     assert rows(names.name_variants(spark.createDataFrame([], PERSON))) == set()
 
