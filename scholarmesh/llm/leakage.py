@@ -81,16 +81,20 @@ class Items:
 
     @staticmethod
     def prefix(keys: np.ndarray, df: dict[int, int]) -> np.ndarray:
-        """Which shingles are in the prefix of some stretch. A stretch has n = STRETCH - SHINGLE + 1 shingles; with
-        FILTER_EDITS edits at least t = n - SHINGLE * FILTER_EDITS remain, so the n - t + 1 rarest meet any document
-        that holds it."""
-        n = STRETCH - SHINGLE + 1
-        t = max(1, n - SHINGLE * FILTER_EDITS)
+        """Which shingles are in the prefix of some stretch. A stretch of w words has w - SHINGLE + 1 shingles, of which its
+        edits destroy at most SHINGLE each; so of the SHINGLE * edits + 2 rarest, two meet any document that holds it.
+        Stretches of up to 2 * STRETCH - 1 words count (see _stretch); per number of edits the shortest is enough, as what
+        is among the rarest of a stretch is so in each part of it."""
         rank = np.array([df.get(int(k), 0) for k in keys])
         keep = np.zeros(len(keys), bool)
-        for a in range(max(1, len(keys) - n + 1)):
-            window = np.arange(a, min(a + n, len(keys)))
-            keep[window[np.lexsort((keys[window], rank[window]))[: max(1, len(window) - t + 1)]]] = True
+        shortest: dict[int, int] = {}
+        for length in range(STRETCH, 2 * STRETCH):
+            shortest.setdefault(int(EDITS * length), length)
+        for edits, length in shortest.items():
+            n = length - SHINGLE + 1
+            for a in range(len(keys) - n + 1):
+                window = np.arange(a, a + n)
+                keep[window[np.lexsort((keys[window], rank[window]))[: SHINGLE * edits + 2]]] = True
         return keep
 
     def code(self, text: str | None) -> np.ndarray:
@@ -127,7 +131,7 @@ class Items:
     @staticmethod
     def near(ip: np.ndarray, dp: np.ndarray) -> bool:
         """Positional bound: at least two different shared shingles of an item lie in one stretch on neighbouring
-        diagonals, as they must where at least t >= 2 remain."""
+        diagonals, as they must where two of the prefix remain."""
         if len(ip) < 2:
             return False
         shift = 2 * FILTER_EDITS
@@ -136,7 +140,7 @@ class Items:
         for k in range(len(i)):
             j = np.searchsorted(d, d[k] + shift, "right")
             near = i[k:j]
-            if np.any((near != i[k]) & (np.abs(near - i[k]) <= STRETCH)):
+            if np.any((near != i[k]) & (np.abs(near - i[k]) < 2 * STRETCH)):
                 return True
         return False
 

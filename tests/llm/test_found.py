@@ -322,6 +322,16 @@ def test_p8_cases(spark):
     assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (9, 1), (9, 2), (14, 1)}
 
 
+@pytest.mark.parametrize(("length", "changed"), [(30, (5, 11, 17, 23)), (40, (5, 11, 17, 23, 28, 33)), (59, (5, 11, 17, 23, 29, 35, 41, 47))])
+def test_p8_frequent_shingles_are_enough(length, changed):
+    item = [f"w{i}" for i in range(100)]
+    doc = [f"x{i}" if i in changed else w for i, w in enumerate(item[20 : 20 + length])]
+    whole = leakage.Items([(1, " ".join(item))])
+    intact = whole.shingles(whole.code(" ".join(doc)))
+    made = leakage.Items([(1, " ".join(item))], {int(k): 1000 for k in intact if k})
+    assert made.leaks(" ".join(doc)) == [1] == whole.leaks(" ".join(doc))
+
+
 def test_p8_blocks_and_empty(spark, monkeypatch):
     item = " ".join(f"t{i}" for i in range(40))
     d = spark.createDataFrame([(1, item)], "doc_id long, text string")
