@@ -10,6 +10,9 @@ from scholarmesh.operators.analysers import numbered
 from scholarmesh.runtime import read
 from scholarmesh.sources import readers
 
+#: Documents of an entity, at most; more and it is put aside.
+MOST = 2000
+
 
 def _entities(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "lineitem").select(F.col("l_orderkey").alias("document_version_id"), F.col("l_partkey").alias("entity_id"))
@@ -37,11 +40,11 @@ def entity_match_safe(spark: SparkSession, d: str) -> DataFrame:
 
 
 def entity_match_by_postings(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(matchers.match_entities_by_postings(_entities(spark, d), "person", 25)[0], "idf")
+    return _rounded(matchers.match_entities_by_postings(_entities(spark, d), "person", MOST)[0], "idf")
 
 
 def excluded_entities(spark: SparkSession, d: str) -> DataFrame:
-    return matchers.match_entities_by_postings(_entities(spark, d), "person", 25)[1]
+    return matchers.match_entities_by_postings(_entities(spark, d), "person", MOST)[1]
 
 
 def dual_match(spark: SparkSession, d: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from scholarmesh.operators import analysers, corpus_models, dedup, filters, instruments, matchers, scorers, statistics, weights
 from scholarmesh.operators.graph import components
 from scholarmesh.runtime import running
+from scholarmesh.plans import entity_queries
 from scholarmesh.sources import readers, schemas, writers
 
 
@@ -112,6 +113,12 @@ def test_text_runs_of_many_documents(spark):
     assert matchers.match_text(t).count() == 150 * 149 // 2 and matchers.match_text(t, most=150).count() == 0
 
 
+def test_entities_of_many_documents(spark, tmp_path):
+    spark.range(2001).selectExpr("id l_orderkey", "1L l_partkey").unionByName(spark.range(30).selectExpr("id l_orderkey", "2L l_partkey")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    pairs = entity_queries.entity_match_by_postings(spark, str(tmp_path))
+    assert pairs.count() == 30 * 29 // 2 and [tuple(r) for r in entity_queries.excluded_entities(spark, str(tmp_path)).collect()] == [(1, 2001)]
+
+
 def test_total_statistics(spark):
     t = spark.createDataFrame([(10, 1, 2, "total", 4.0, 50.0), (11, 1, 3, "total", 4.0, 120.0), (12, 1, 4, "total", 2.0, 60.0)], "id long, document_version1_id long, document_version2_id long, score_type string, score double, contextual_score double")
     r = {x.document_version_id: x for x in statistics.total_statistics(t).collect()}[1]
