@@ -38,10 +38,22 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Files of this process's intermediate tables.
+_kept: set[str] = set()
+
+
+def _keep(df: DataFrame, path: str) -> DataFrame:
+    df._kept_as = path
+    _kept.add(path)
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Computes df now and keeps it in the shared folder, so that later steps neither recompute it nor lose it."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    file = out._jdf.logicalPlan().rdd().getCheckpointFile()
+    return _keep(out, file.get()) if file.isDefined() else out
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -49,17 +61,29 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/scholarmesh/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _keep(spark.read.schema(df.schema).parquet(path), path)
 
 
-def remove(df: DataFrame) -> None:
-    """Deletes the files of a table made by stored(), once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/scholarmesh/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def remove(*tables: DataFrame) -> None:
+    """Deletes the files of tables made by cut() or stored(), once nothing reads them any more; others are left alone."""
+    for df in tables:
+        if path := getattr(df, "_kept_as", None):
+            _delete(df.sparkSession, path)
+            _kept.discard(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes all intermediate tables of this process that are left, once its results are written; says how many."""
+    n = len(_kept)
+    for path in sorted(_kept):
+        _delete(spark, path)
+    _kept.clear()
+    return n
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
