@@ -31,6 +31,10 @@ def p2_shared(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_amount(read(spark, d, "full_text"))
 
 
+def p2_repeats(spark: SparkSession, d: str) -> DataFrame:
+    return spans.repeats(read(spark, d, "full_text"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return fusion.first_choices(read(spark, d, "match_candidate"), read(spark, d, "ranking_query"))
 

@@ -62,6 +62,16 @@ g as (select d, least(300, coalesce(lead(i) over (partition by d order by i) - i
 c as (select d, sum(adds)::bigint c from g group by d),
 n as (select d, coalesce(max(length(text)), 0)::bigint n from t where d is not null group by d)
 select d document_version_id, n n_chars, least(coalesce(c, 0), n)::bigint shared_chars, case when n > 0 then least(coalesce(c, 0), n) / n else 0.0 end::double shared_share from n left join c using (d)
+""",
+        "p2_repeats": """
+with t as (select distinct document_version_id d, text from full_text where length(text) >= 300),
+n as (select d, text, row_number() over (order by d, text) k from t),
+s as (select d, k, text, i, hash(substring(text, i, 300)) h, case when i > 1 then substring(text, i - 1, 1) end c from n, unnest(range(1, length(text) - 298)) u(i)),
+m as (select * from s where h in (select h from s group by h having min(d) < max(d))),
+p as (select a.h, substring(a.text, a.i) x, substring(b.text, b.i) y from m a join m b on a.h = b.h and (a.k, a.i) < (b.k, b.i) where a.c is null or b.c is null or a.c <> b.c),
+r as (select distinct h, substring(x, 1, coalesce(list_position(list_transform(range(1, least(length(x), length(y)) + 1), lambda j: x[j] <> y[j]), true) - 1, least(length(x), length(y)))) r from p),
+o as (select r.r, min({'d': d, 'i': i}) f, count(*) occurrences, max(d) last_id from r join m on m.h = r.h and substring(m.text, m.i, length(r.r)) = r.r group by r.r)
+select f.d document_version_id, f.i - 1 start, length(r) n_chars, occurrences, last_id from o where f.d < last_id
 """,
         "p3_found": """
 with q as (select distinct document_version_id p from ranking_query),

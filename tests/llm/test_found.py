@@ -68,17 +68,43 @@ def brute_spans(texts, least):
     return {p for ds in seen.values() for p in itertools.combinations(sorted(ds), 2)}
 
 
-@pytest.mark.parametrize(("least", "prefix"), [(30, 20), (12, 8)])
-def test_p2_against_brute_force(spark, least, prefix):
+def brute_repeats(texts, least):
+    """Every maximal repeat of several records, as (least record, start, length, occurrences, greatest record)."""
+    texts = sorted({(d, t) for d, t in texts if t})
+    where = defaultdict(list)
+    for k, (_, t) in enumerate(texts):
+        for i in range(len(t) - least + 1):
+            where[t[i : i + least]].append((k, i))
+    found = set()
+    for places in where.values():
+        for (k, i), (m, j) in itertools.combinations(places, 2):
+            a, b = texts[k][1], texts[m][1]
+            if i and j and a[i - 1] == b[j - 1]:
+                continue
+            n = next((x for x in range(least, min(len(a) - i, len(b) - j)) if a[i + x] != b[j + x]), min(len(a) - i, len(b) - j))
+            found.add(a[i : i + n])
+    out = set()
+    for r in found:
+        at = [(texts[k][0], i) for k, i in where[r[:least]] if texts[k][1][i : i + len(r)] == r]
+        if min(at)[0] < max(at)[0]:
+            out.add((*min(at), len(r), len(at), max(at)[0]))
+    return out
+
+
+@pytest.mark.parametrize(("least", "prefix", "most"), [(30, 20, spans.SUBTREE_CHARS), (12, 8, 2_500)])
+def test_p2_against_brute_force(spark, least, prefix, most):
     random.seed(2)
     word = lambda n: "".join(random.choice("abcé😀 ") for _ in range(n))
     shared = [word(k) for k in (least - 1, least, least + 1, 3 * least)]
     texts = [(i, word(random.randrange(60)) + random.choice(shared) + word(random.randrange(60))) for i in range(40)]
-    texts += [(100, None), (101, ""), (102, " "), (103, "ab" * 200), (104, "ab" * 150), (105, "a" * 500), (106, "a" * 400), (0, texts[0][1]), (107, texts[0][1])]
+    texts += [(100, None), (101, ""), (102, " "), (103, "ab" * 40), (104, "ab" * 30), (105, "a" * 60), (106, "a" * 50), (0, texts[0][1]), (107, texts[0][1]), (1, texts[2][1][:40])]
     df = clashing(spark.createDataFrame(texts, "document_version_id long, text string"))
     want = brute_spans(texts, least)
-    assert rows(spans.span_pairs(df, least=least, prefix=prefix)) == want
-    amount = {r[0]: (r.n_chars, r.shared_chars) for r in spans.shared_amount(df, least=least, prefix=prefix).collect()}
+    assert rows(spans.span_pairs(df, least=least, prefix=prefix, most=most)) == want
+    assert rows(spans.repeats(df, least=least, prefix=prefix, most=most)) == brute_repeats(texts, least)
+    texts = [x for x in texts if x != (1, texts[2][1][:40])]
+    df = clashing(spark.createDataFrame(texts, "document_version_id long, text string"))
+    amount = {r[0]: (r.n_chars, r.shared_chars) for r in spans.shared_amount(df, least=least, prefix=prefix, most=most).collect()}
     for d, t in texts:
         cover, others = set(), {x for e, x in texts if e != d and x}
         for i in range(len(t or "") - least + 1):
@@ -87,6 +113,14 @@ def test_p2_against_brute_force(spark, least, prefix):
         assert amount[d] == (len(t or ""), len(cover))
 
 
+def test_p2_texts_that_start_alike(spark):
+    """Nothing precedes a text, whatever the ids: these two differ by a power of two."""
+    text = "".join(map(chr, random.Random(3).choices(range(97, 123), k=400)))
+    for other in (2, 1 + (1 << 32)):
+        df = spark.createDataFrame([(1, text), (other, text)], "document_version_id long, text string")
+        assert rows(spans.span_pairs(df)) == {(1, other)} and rows(spans.repeats(df)) == {(1, 0, 400, 2, other)}
+
+
 def test_p2_empty(spark):
     assert rows(spans.span_pairs(spark.createDataFrame([], "document_version_id long, text string"))) == set()
 
