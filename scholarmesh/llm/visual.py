@@ -16,24 +16,33 @@ from pyspark.sql import types as T
 
 from scholarmesh.runtime import stored
 
-# Letters of other scripts that are drawn as a Latin letter, by that letter.
-CYRILLIC = {"\u0430": "a", "\u0435": "e", "\u043e": "o", "\u0440": "p", "\u0441": "c", "\u0443": "y", "\u0445": "x", "\u0455": "s", "\u0456": "i", "\u0458": "j", "\u04bb": "h", "\u0501": "d", "\u051b": "q", "\u051d": "w", "\u0410": "A", "\u0412": "B", "\u0415": "E", "\u041a": "K", "\u041c": "M", "\u041d": "H", "\u041e": "O", "\u0420": "P", "\u0421": "C", "\u0422": "T", "\u0423": "Y", "\u0425": "X", "\u0405": "S", "\u0406": "I", "\u0408": "J", "\u04ae": "Y", "\u051a": "Q", "\u051c": "W", "\u04cf": "l", "\u04c0": "I"}
-GREEK = {"\u03bf": "o", "\u03bd": "v", "\u03f3": "j", "\u0391": "A", "\u0392": "B", "\u0395": "E", "\u0396": "Z", "\u0397": "H", "\u0399": "I", "\u039a": "K", "\u039c": "M", "\u039d": "N", "\u039f": "O", "\u03a1": "P", "\u03a4": "T", "\u03a5": "Y", "\u03a7": "X"}
-# Signs with two code points (micro, ohm, kelvin, angstrom, dots, semicolon, grave), ligatures by their letters,
-# hyphens that differ only in where a line may break.
-SIGNS = {"\u00b5": "\u03bc", "\u2126": "\u03a9", "\u212a": "K", "\u212b": "\u00c5", "\u0387": "\u00b7", "\u037e": ";", "\u1fef": "`", "\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st", "\u2010": "-", "\u2011": "-"}
+# Letters of other scripts that are drawn as a Latin letter, by script: the letters, and the Latin ones in the same order.
+LETTERS = {
+    "cyrillic": ("аеорсухѕіјһԁԛԝүѵӏ" "АВЕКМНОРСТУХЅІЈҮԚԜӀѴԌ", "aeopcyxsijhdqwyvl" "ABEKMHOPCTYXSIJYQWIVG"),
+    "greek": ("ονϳϲ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ovjc" "ABEZHIKMNOPTYXCJ"),
+    "armenian": ("օսհոցզ" "ՕՍԼՏ", "ouhngq" "OULS"),
+    "coptic": ("ⲟⲣⲥ" "ⲞⲢⲤⲔⲘⲚⲦⲬ", "opc" "OPCKMNTX"),
+    "cherokee": ("ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ", "ABCDEGHJKLMPRSTVWZ"),
+    "latin": ("ɡ", "g"),
+}
+# Signs with two code points (micro, ohm, kelvin, angstrom, dots, colon, slashes, bar, semicolon, grave), ligatures
+# by their letters, hyphens that differ only in where a line may break.
+SIGNS = {"\u00b5": "\u03bc", "\u2126": "\u03a9", "\u212a": "K", "\u212b": "\u00c5", "\u0387": "\u00b7", "\u22c5": "\u00b7", "\u2027": "\u00b7", "\u2024": ".", "\u2236": ":", "\u2215": "/", "\u2044": "/", "\u2223": "|", "\u037e": ";", "\u1fef": "`", "\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st", "\u2010": "-", "\u2011": "-"}
 # Characters that show nothing, as ranges of code points.
 INVISIBLE = "".join(chr(c) for a, b in ((0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180E), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x2064), (0x2066, 0x206F), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF)) for c in range(a, b + 1))
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u2028\u2029"
 
 
+LOOK_ALIKES = {a: b for letters, latin in LETTERS.values() for a, b in zip(letters, latin, strict=True)}
+
+
 class Conflict(ValueError):
     """Two rules give one input different outputs, or an output is itself an input of another rule."""
 
 
 @lru_cache(maxsize=1)
 def mapping() -> dict[str, str]:
-    """The compiled rules: character to output. Widths and spaces come from the character database by rule."""
+    """The compiled rules: character to output. Widths, spaces and numerals come from the character database by rule."""
     rules: dict[str, str] = {}
 
     def add(a: str, b: str) -> None:
@@ -47,10 +56,11 @@ def mapping() -> dict[str, str]:
             add(c, "".join(chr(int(x, 16)) for x in parts.split()))
         elif unicodedata.category(c) == "Zs" or c in SPACES:
             add(c, " ")
-    for table in (CYRILLIC, GREEK, SIGNS):
+        elif unicodedata.category(c) == "Nl" and kind == "<compat>":  # numerals written by letters
+            add(c, "".join(chr(int(x, 16)) for x in parts.split()))
+    for table in (LOOK_ALIKES, SIGNS):
         for a, b in table.items():
-            if a != b:
-                add(a, b)
+            add(a, b)
     for c in INVISIBLE:
         add(c, "")
     for _ in range(4):  # a wide form of a look-alike goes the whole way
@@ -67,7 +77,7 @@ def composed() -> dict[str, str]:
     rules: dict[str, str] = {}
     for c in map(chr, range(sys.maxunicode + 1)):
         base, *marks = unicodedata.normalize("NFD", c)
-        if marks and (latin := CYRILLIC.get(base) or GREEK.get(base)):
+        if marks and (latin := LOOK_ALIKES.get(base)):
             rules[c] = unicodedata.normalize("NFC", latin + "".join(marks))
     return rules
 
@@ -90,6 +100,7 @@ class Transducer:
         # a single plain blank, which is most of them, needs no rewriting
         self.pattern = re.compile(f"[{spaces}](?:{tail}*[{spaces}])+{tail}*|[{odd}]{tail}*| {tail}+|[^{spaces}]{tail}+|[{single}]", re.DOTALL)
         self.memo: dict[str, str] = {}
+        self.words: dict[str, str] = {}
 
     def _of(self, m: re.Match) -> str:
         s = m.group()
@@ -101,11 +112,25 @@ class Transducer:
                 self.memo[s] = out
         return out
 
+    def whole(self, text: str) -> str:
+        out = self.pattern.sub(self._of, unicodedata.normalize("NFC", text))
+        return unicodedata.normalize("NFC", re.sub(" {2,}", " ", out).strip(" "))
+
     def __call__(self, text: str) -> str:
+        """As whole(), word by word: no rule reaches across white space, and most words come again."""
         if text.isascii():
             return " ".join(text.split())
-        out = self.pattern.sub(self._of, unicodedata.normalize("NFC", text))
-        return unicodedata.normalize("NFC", re.sub(" {2,}", " ", out).strip(" "))
+        out = []
+        for w in text.split():
+            if not w.isascii():
+                if (form := self.words.get(w)) is None:
+                    form = self.whole(w)
+                    if len(self.words) < 100_000 and len(w) < 60:
+                        self.words[w] = form
+                w = form
+            if w:
+                out.append(w)
+        return " ".join(out)
 
 
 @lru_cache(maxsize=1)
