@@ -14,20 +14,15 @@ from scholarmesh.runtime import cut, small_side, stored
 EDGES = (0.6, 0.9)
 
 
-def stat_items(stats: DataFrame, n: int) -> DataFrame:
-    """(document_version_id, score_type, match_id, score) from the parallel arrays of match_candidate_stats.
+def stat_items(stats: DataFrame) -> DataFrame:
+    """(document_version_id, score_type, match_id, score) from the parallel arrays of match_candidate_stats, all of them.
 
-    A row whose match ids are all different passes on only its own n best, as nothing else of it can be among the n best
-    of the group; a row that names an id twice passes on all. A null or NaN score, or one missing at the end of a shorter
-    array, ranks below every number; a null match id is no match.
+    A null or NaN score, or one missing at the end of a shorter array, ranks below every number; a null match id is no
+    match.
     """
     pairs = F.arrays_zip(F.col("match_ids").alias("i"), F.col("scores").alias("s"))
-    lowest = F.lit(float("-inf"))
-    keyed = F.transform(pairs, lambda x: F.struct((-F.when(F.isnan(x["s"]), lowest).otherwise(F.coalesce(x["s"], lowest))).alias("k"), x["i"].alias("i")))
-    keyed = F.filter(keyed, lambda x: x["i"].isNotNull())
-    best = F.when(F.size(F.array_distinct("match_ids")) == F.size("match_ids"), F.slice(F.array_sort(keyed), 1, n)).otherwise(keyed)
-    rows = stats.filter("document_version_id is not null and score_type is not null and match_ids is not null").select("document_version_id", "score_type", F.explode(best).alias("x"))
-    return rows.select("document_version_id", "score_type", F.col("x.i").alias("match_id"), (-F.col("x.k")).alias("score"))
+    rows = stats.filter("document_version_id is not null and score_type is not null and match_ids is not null").select("document_version_id", "score_type", F.explode(pairs).alias("x"))
+    return rows.select("document_version_id", "score_type", F.col("x.i").alias("match_id"), F.col("x.s").alias("score")).filter("match_id is not null")
 
 
 def top_n(items: DataFrame, group: Sequence[str], item: str, score: str, n: int, scale: str | None = None, edges: Sequence[float] = EDGES) -> DataFrame:
@@ -79,11 +74,11 @@ def top_n(items: DataFrame, group: Sequence[str], item: str, score: str, n: int,
 
 def best_matches(stats: DataFrame, n: int = 3) -> DataFrame:
     """p5_found(document_version_id, score_type, match_id); see stat_items and top_n."""
-    best = top_n(stat_items(stats, n), ["document_version_id", "score_type"], "match_id", "score", n, "score_type")
+    best = top_n(stat_items(stats), ["document_version_id", "score_type"], "match_id", "score", n, "score_type")
     return best.select("document_version_id", "score_type", "match_id")
 
 
 def best_matches_ranked(stats: DataFrame, n: int = 3) -> DataFrame:
     """(document_version_id, score_type, position, match_id, score) of the n best."""
-    best = top_n(stat_items(stats, n), ["document_version_id", "score_type"], "match_id", "score", n, "score_type")
+    best = top_n(stat_items(stats), ["document_version_id", "score_type"], "match_id", "score", n, "score_type")
     return best.select("document_version_id", "score_type", F.col("position").cast("long").alias("position"), "match_id", "score")
