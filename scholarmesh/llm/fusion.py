@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from scholarmesh.runtime import running, small_side, stored
 
+#: Kinds of score at most: each is a column, and the correlation matrix has a sum for each two of them.
+MOST_KINDS = 100
+
 
 def oriented(candidates: DataFrame, queries: DataFrame) -> DataFrame:
     """(proposal_id, publication_id, score_type, score) of the asked proposals, once per pair and type.
@@ -52,8 +55,9 @@ def wide(scores: DataFrame, stands: DataFrame, group: str, item: str, kind: str,
 def first_component(table: DataFrame, n: int, directions: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(means, deviations, loadings) of the columns s0.. from one distributed pass over sums and products.
 
-    The first eigenvector of the correlation matrix, its sign turned to the declared directions; a loading that then
-    still opposes its direction counts 0, as does a constant column. Without rows all loadings are equal.
+    The first eigenvector of the correlation matrix, the sign of each loading turned to its declared direction, so that
+    no kind speaks against its direction and none loses its say; a constant column can't rank and counts 0. Without rows
+    all loadings are equal.
     """
     if n == 0:
         return np.zeros(0), np.ones(0), np.zeros(0)
@@ -70,8 +74,7 @@ def first_component(table: DataFrame, n: int, directions: list[int]) -> tuple[np
     safe = np.where(live, std, 1.0)
     corr = np.where(np.outer(live, live), cov / np.outer(safe, safe), 0.0)
     vector = np.linalg.eigh(corr)[1][:, -1]
-    vector = vector * (1 if vector @ want >= 0 else -1)
-    vector = np.where(live & (vector * want > 0), vector, 0.0)
+    vector = np.where(live, np.abs(vector) * want, 0.0)
     if not vector.any():
         vector = want / np.sqrt(n)
     return mean, safe, vector
@@ -86,7 +89,9 @@ def fused(scores: DataFrame, group: str, item: str, kind: str, score: str, direc
     additions can't decide a tie. No rows give no rows.
     """
     directions = directions or {}
-    kinds = sorted(r[0] for r in scores.select(kind).distinct().filter(F.col(kind).isNotNull()).collect())
+    kinds = sorted(r[0] for r in scores.select(kind).distinct().filter(F.col(kind).isNotNull()).limit(MOST_KINDS + 1).collect())
+    if len(kinds) > MOST_KINDS:
+        raise ValueError(f"more than {MOST_KINDS} kinds of score")
     signs = [directions.get(k, 1) for k in kinds]
     if any(s < 0 for s in signs):
         less = F.col(kind).isin(*[k for k in kinds if directions.get(k, 1) < 0])
