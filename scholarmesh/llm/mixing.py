@@ -69,11 +69,15 @@ def mixed(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed:
     Copies are counted in whole units, so max_repeats is never exceeded. Records of sources without a target, and of
     null source, aren't in the mix; a record with an empty text may be, with 0 tokens.
     """
-    p = plan(sizes, targets, total).select("source", F.floor(F.col("copies") * UNIT).cast("long").alias("_e"), F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(UNIT)).alias("_u"))
+    offset = F.conv(F.substring(F.md5(F.concat_ws("|", "source", F.lit(str(seed)))), 1, 6), 16, 10).cast("long")  # below UNIT
+    p = plan(sizes, targets, total).select("source", F.floor(F.col("copies") * UNIT).cast("long").alias("_e"), offset.alias("_u"))
     rows = sizes.join(small_side(p), "source").filter("_e > 0")
     r = running(rows, ["source"], [F.asc("n_tokens"), F.asc("doc_id")], F.lit(1), "_i")
-    exact = lambda k: F.shiftright((F.col("_i") + k) * F.col("_e") + F.col("_u"), 24)
-    return r.select("doc_id", "source", "n_tokens", (exact(1) - exact(0)).alias("copies")).filter("copies > 0")
+    # whole copies, and one more where the fraction's sum crosses a unit; all modulo UNIT, so no source is too long to count
+    part = F.pmod(F.col("_e"), F.lit(UNIT))
+    ahead = F.pmod(F.pmod(F.col("_i"), F.lit(UNIT)) * part + F.col("_u"), F.lit(UNIT))
+    copies = F.shiftright(F.col("_e"), 24) + F.shiftright(ahead + part, 24)
+    return r.select("doc_id", "source", "n_tokens", copies.alias("copies")).filter("copies > 0")
 
 
 def mix(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -93,5 +97,13 @@ def shares(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULAR
 
 def short_sources(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """p9_found(source): sources that stay short of their share: all their records, as often as they may be used, have
-    fewer tokens than the share of all documents' tokens. It's where the plan of the mix is capped by max_repeats."""
-    return plan(sized(documents, vocabulary), targets).filter(F.col("max_repeats") * F.col("tokens") < F.col("wanted")).select("source")
+    fewer tokens than the share of all documents' tokens.
+
+    Read from the mix: a source is short where the sampling gives every record as often as it may and the tokens drawn
+    are still fewer than wanted. A source of which nothing can be drawn is short if anything is wanted."""
+    s = sized(documents, vocabulary)
+    drawn = mixed(s, targets).groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mixed_tokens"), F.sum("copies").alias("copies_drawn"))
+    records = s.groupBy("source").agg(F.count("*").alias("records"))
+    p = plan(s, targets).select("source", "max_repeats", "tokens", "wanted").join(drawn, "source", "left").join(records, "source", "left").fillna(0, ["mixed_tokens", "copies_drawn", "records"])
+    used_up = (F.col("tokens") == 0) | (F.col("copies_drawn") >= F.col("records") * F.col("max_repeats"))
+    return p.filter(used_up & (F.col("mixed_tokens") < F.col("wanted"))).select("source")
