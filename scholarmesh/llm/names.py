@@ -313,6 +313,36 @@ def _relation(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="int32")
 
 
+def related(nodes: DataFrame) -> DataFrame:
+    """(k1, k2, exact, rel): keys (key, given, family) of near family names of which the given name of k1 is that of k2,
+    perhaps mistyped (SAME), or can stand for it (LEFT_WEAK). exact: the family names are equal.
+
+    Given names don't all meet within a family name. Whatever can relate two of them is a key to join by, together with
+    the family name: names within the edits, from the one trie join that serves given and family names; the beginnings of
+    the longer name; the names that a familiar form stands for, and what is near them; their initials. A key (given,
+    family) has one row, so a family name with a third of all rows is spread over its given names.
+    """
+    spark = nodes.sparkSession
+    familiar = F.broadcast(spark.createDataFrame([(k, n) for k, ns in sorted(STANDS_FOR.items()) for n in sorted(ns)], "g1 string, name string"))  # a fixed table
+    words = nodes.select(F.explode(F.array("given", "family")).alias("word")).unionByName(familiar.select(F.col("name").alias("word")))
+    found = cut(trie_join(words, "word"))
+    turned = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    family = turned.unionByName(halves(nodes)).unionByName(halves(nodes).select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(nodes.select(F.col("family").alias("a"), F.col("family").alias("b")).distinct())
+    given = turned.unionByName(words.distinct().select(F.col("word").alias("a"), F.col("word").alias("b")))
+    left = nodes.select(F.col("key").alias("k1"), F.col("given").alias("g1"), F.col("family").alias("a")).join(family, "a").select("k1", "g1", "b", (F.col("a") == F.col("b")).alias("exact"))
+    left = stored(left)
+    right = nodes.select(F.col("key").alias("k2"), F.col("given").alias("g2"), F.col("family").alias("b"))
+    alike = left.join(given.select(F.col("a").alias("g1"), F.col("b").alias("g2")), "g1").join(right, ["g2", "b"])
+    starts = F.explode(F.transform(F.sequence(F.lit(0), F.length("g2") - 1), lambda i: F.substring("g2", F.lit(1), i)))
+    short = left.join(right.filter(F.length("g2") > 0).select("*", starts.alias("g1")), ["g1", "b"])
+    stands = left.join(familiar, "g1").join(given.select(F.col("a").alias("name"), F.col("b").alias("g2")), "name").join(right, ["g2", "b"])
+    initials = familiar.select(F.col("g1").alias("g2"), F.substring("name", 1, 1).alias("g1")).distinct()
+    initial = left.join(right.join(initials, "g2"), ["g1", "b"])
+    columns = ["k1", "k2", "g1", "g2", "exact"]
+    pairs = alike.select(columns).unionByName(short.select(columns)).unionByName(stands.select(columns)).unionByName(initial.select(columns)).filter("k1 <> k2")
+    return pairs.select("k1", "k2", "exact", _relation("g1", "g2").alias("rel")).filter(F.col("rel").isin(SAME, LEFT_WEAK))
+
+
 def same_person(person: DataFrame) -> DataFrame:
     """(id, sid, entity): the rows of person by what entity their names mean; sid numbers distinct spellings.
 
@@ -329,13 +359,7 @@ def same_person(person: DataFrame) -> DataFrame:
     keys = name_keys(spellings).withColumn("key", F.xxhash64("given", "family"))
     keys = stored(keys)
     nodes = cut(keys.select("key", "given", "family").distinct())
-    near = cut(trie_join(nodes, "family"))
-    near = near.unionByName(halves(nodes))
-    near = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(nodes.select(F.col("family").alias("a"), F.col("family").alias("b")).distinct())
-    left = nodes.select(F.col("key").alias("k1"), F.col("given").alias("g1"), F.col("family").alias("a"))
-    right = nodes.select(F.col("key").alias("k2"), F.col("given").alias("g2"), F.col("family").alias("b"))
-    pairs = left.join(near, "a").join(right, "b").filter("k1 <> k2")
-    rel = stored(pairs.select("k1", "k2", "g1", "g2", (F.col("a") == F.col("b")).alias("exact"), _relation("g1", "g2").alias("rel")).filter(F.col("rel") != OTHER))
+    rel = stored(related(nodes))
     # A key is weak if its given name can stand for another one of the same family name.
     weak = cut(rel.filter((F.col("rel") == LEFT_WEAK) & F.col("exact")).select(F.col("k1").alias("key")).distinct())
     strong_nodes = cut(nodes.select("key").join(weak, "key", "left_anti"))
