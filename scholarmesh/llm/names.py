@@ -232,21 +232,31 @@ def _shard_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["shard", "name", "visits"])
 
 
+def letters(word: str) -> int:
+    """The letters of a word as bits; an edit turns at most two."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 63)
+    return bits
+
+
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by shard and block, kept names first."""
-    at, kept, trie = None, [], None
+    """Rows come sorted by shard and block, kept names first. A trie is walked for words with the letters for it."""
+    at, kept, sets, trie, most = None, [], set(), None, 0
     for pdf in batches:
         out = []
         for shard, block, name, visits in zip(pdf["shard"], pdf["block"], pdf["name"], pdf["visits"]):
             if (shard, block) != at:
-                at, kept, trie = (shard, block), [], None
+                at, kept, sets, trie = (shard, block), [], set(), None
+                most = lev_edits(int(shard.partition("|")[0]))
             if not visits:
                 kept.append(name)
+                sets.add(letters(name))
                 continue
-            if kept:
+            mine, room = letters(name), 2 * most
+            if any((mine ^ x).bit_count() <= room for x in sets) and (len(kept) > 1 or kept[0] != name):
                 trie = trie or Trie(kept)
-                m = int(shard.partition("|")[0])
-                out += [(min(o, name), max(o, name)) for o in trie.near(name, lev_edits(m)) if (len(o), o) < (len(name), name) and same_family(o, name)]
+                out += [(min(o, name), max(o, name)) for o in trie.near(name, most) if (len(o), o) < (len(name), name) and same_family(o, name)]
         yield pd.DataFrame(out, columns=["a", "b"])
 
 
@@ -327,7 +337,8 @@ def related(nodes: DataFrame) -> DataFrame:
     words = nodes.select(F.explode(F.array("given", "family")).alias("word")).unionByName(familiar.select(F.col("name").alias("word")))
     found = cut(trie_join(words, "word"))
     turned = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    family = turned.unionByName(halves(nodes)).unionByName(halves(nodes).select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(nodes.select(F.col("family").alias("a"), F.col("family").alias("b")).distinct())
+    half = cut(halves(nodes))
+    family = turned.unionByName(half).unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(nodes.select(F.col("family").alias("a"), F.col("family").alias("b")).distinct())
     given = turned.unionByName(words.distinct().select(F.col("word").alias("a"), F.col("word").alias("b")))
     left = nodes.select(F.col("key").alias("k1"), F.col("given").alias("g1"), F.col("family").alias("a")).join(family, "a").select("k1", "g1", "b", (F.col("a") == F.col("b")).alias("exact"))
     left = stored(left)
