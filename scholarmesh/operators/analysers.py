@@ -63,12 +63,14 @@ def words_of(text: Column) -> Column:
 
 def code_mentions(texts: DataFrame, codes: DataFrame, around: int = 10) -> DataFrame:
     """(document_version_id, entity_id, code, position, relative_position, context): where a code (entity_id, code: one or
-    more words) begins in a text, with the words up to `around` before and behind it. Contexts are slices of the
-    document's own words, so no range join."""
+    more words) begins in a text, with the words up to `around` before and behind it. texts has one row per document.
+
+    Only (document, position, word) meets the codes; the document's own words are fetched for hits, as slices, so no range
+    join, and no text is carried by each of its words."""
     d = texts.select("document_version_id", words_of(F.col("text")).alias("w")).filter(F.size("w") > 0)
-    each = d.select("document_version_id", "w", F.posexplode("w").alias("position", "first"))
+    each = d.select("document_version_id", F.posexplode("w").alias("position", "first"))
     c = codes.select("entity_id", F.lower("code").alias("code"), F.element_at(words_of(F.col("code")), 1).alias("first"), words_of(F.col("code")).alias("parts")).filter("first is not null")
-    hits = each.join(small_side(c), "first").filter(F.slice("w", F.col("position") + 1, F.size("parts")) == F.col("parts"))
+    hits = each.join(small_side(c), "first").join(d, "document_version_id").filter(F.slice("w", F.col("position") + 1, F.size("parts")) == F.col("parts"))
     start = F.greatest(F.col("position") - around, F.lit(0))
     return hits.select("document_version_id", "entity_id", "code", "position", (F.col("position") / F.greatest(F.size("w") - 1, F.lit(1))).alias("relative_position"), F.slice("w", start + 1, F.col("position") + F.size("parts") + around - start).alias("context"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scholarmesh.runtime import stored
+from scholarmesh.sources.schemas import is_proposal
 
 _PAIR = ["document_version1_id", "document_version2_id"]
 
@@ -26,11 +27,22 @@ def _self_join(tf: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return a.join(b, key).filter("document_version1_id < document_version2_id")
 
 
-def match_entities(entities: DataFrame, kind: str, safe: bool = True, divisor: int = 20) -> DataFrame:
+def _between(tf: DataFrame, key: str, columns: list[str], types: DataFrame) -> DataFrame:
+    """As _self_join, of proposals with other documents only: the type is on the postings before they meet, so that no
+    pair of one type is made. types has one row per document; documents without a type meet none."""
+    typed = tf.join(types.select("document_version_id", F.coalesce(is_proposal(F.col("document_type")), F.lit(False)).alias("_p")), "document_version_id")
+    side = lambda k, p: typed.filter(p).select(key, F.col("document_version_id").alias(f"d{k}"), F.struct(*columns).alias(f"c{k}"))
+    both = side(1, F.col("_p")).join(side(2, ~F.col("_p")), key)
+    first = F.col("d1") < F.col("d2")
+    one, two = F.when(first, F.col("c1")).otherwise(F.col("c2")), F.when(first, F.col("c2")).otherwise(F.col("c1"))
+    return both.select(key, F.least("d1", "d2").alias(_PAIR[0]), *[one[c].alias(f"document_version1_{c}") for c in columns], F.greatest("d1", "d2").alias(_PAIR[1]), *[two[c].alias(f"document_version2_{c}") for c in columns])
+
+
+def match_entities(entities: DataFrame, kind: str, safe: bool = True, divisor: int = 20, types: DataFrame | None = None) -> DataFrame:
     """Pairs that share an entity, a row per shared one, with both frequencies and the entity's weight log10(N / documents).
 
     safe: entities with at least N / divisor occurrences (whole division) are left out: part of the meaning, as they say
-    nothing. Null ids share nothing.
+    nothing. types: only pairs of a proposal and another document, as filters.by_type keeps. Null ids share nothing.
     """
     e = entities.select("document_version_id", "entity_id").dropna()
     n = F.lit(e.select("document_version_id").distinct().count())
@@ -39,7 +51,9 @@ def match_entities(entities: DataFrame, kind: str, safe: bool = True, divisor: i
     if safe:
         per = per.filter(F.col("occurrences") < F.floor(n / divisor))
     weighted = tf.join(per.select("entity_id", F.log10(n / F.col("documents")).alias("idf")), "entity_id")
-    return _self_join(weighted, "entity_id", ["tf", "entity_count", "idf"]).withColumnRenamed("document_version1_idf", "idf").drop("document_version2_idf").withColumn("score_type", F.lit(kind))
+    columns = ["tf", "entity_count", "idf"]
+    pairs = _self_join(weighted, "entity_id", columns) if types is None else _between(weighted, "entity_id", columns, types)
+    return pairs.withColumnRenamed("document_version1_idf", "idf").drop("document_version2_idf").withColumn("score_type", F.lit(kind))
 
 
 def match_entities_by_postings(entities: DataFrame, kind: str, most: int) -> tuple[DataFrame, DataFrame]:
@@ -63,11 +77,12 @@ def match_dual(entities: DataFrame, primary: str, secondary: str) -> DataFrame:
     tf = stored(tf.join(e.groupBy("document_version_id").agg(F.count("*").alias("entity_count")), "document_version_id"))
     per = tf.groupBy("entity_id").agg(F.count_if(F.col("type") == primary).alias("p"), F.count_if(F.col("type") == secondary).alias("s")).filter("p > 0 and s > 0")
     per = per.select("entity_id", F.log10(n / (F.col("p") + F.col("s"))).alias("idf"))
-    side = lambda t, k: tf.filter(F.col("type") == t).select("entity_id", F.col("document_version_id").alias(f"d{k}"), F.col("tf").alias(f"t{k}"), F.col("entity_count").alias(f"c{k}"))
+    tf = tf.join(per, "entity_id")  # drops entities of one type before any pair is made
+    side = lambda t, k: tf.filter(F.col("type") == t).select("entity_id", *(["idf"] if k == 1 else []), F.col("document_version_id").alias(f"d{k}"), F.col("tf").alias(f"t{k}"), F.col("entity_count").alias(f"c{k}"))
     mixed = side(primary, 1).join(side(secondary, 2), "entity_id").filter("d1 <> d2").withColumn("score_type", F.lit(primary))
     within = side(secondary, 1).join(side(secondary, 2), "entity_id").filter("d1 < d2").withColumn("score_type", F.lit(secondary))
     first = F.col("d1") < F.col("d2")
-    both = mixed.unionByName(within).join(per, "entity_id")
+    both = mixed.unionByName(within)
     pick = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
     cols = [pick(f"{c}1", f"{c}2").alias(f"document_version1{s}") for c, s in (("d", "_id"), ("t", "_tf"), ("c", "_entity_count"))]
     cols += [pick(f"{c}2", f"{c}1").alias(f"document_version2{s}") for c, s in (("d", "_id"), ("t", "_tf"), ("c", "_entity_count"))]

@@ -74,7 +74,10 @@ def contextual(pairs: DataFrame, percent: float = 100.0) -> DataFrame:
 
 def totals(pairs: DataFrame, weights: DataFrame) -> DataFrame:
     """Per pair the weighted sum of its scores and of its contextual scores, typed total."""
-    c = contextual(pairs).join(F.broadcast(weights.limit(len(EVIDENCE) + 1)), "score_type")
+    n = weights.count()
+    if n > len(EVIDENCE):
+        raise ValueError(f"{n} weights, but there are {len(EVIDENCE)} types of evidence")
+    c = contextual(pairs).join(F.broadcast(weights), "score_type")
     g = c.groupBy(*_PAIR).agg(F.sum(F.col("score") * F.col("weight")).alias("score"), F.sum(F.col("contextual_score") * F.col("weight")).alias("contextual_score"))
     return g.select(match_id(F.col(_PAIR[0]), F.col(_PAIR[1]), "total").alias("id"), *_PAIR, F.lit("total").alias("score_type"), "score", "contextual_score")
 
@@ -85,18 +88,19 @@ def total_statistics(total: DataFrame, types: DataFrame | None = None) -> DataFr
     range of contextual scores."""
     sides = unpivoted(total.filter("score <> 0"), "id", "score", "contextual_score", "score_type")
     key = ["document_version_id", "score_type"]
+    order = Window.partitionBy(*key).orderBy(F.desc(F.coalesce("contextual_score", F.lit(0.0))), "id")
+    place = F.row_number().over(order)
+    sides = sides.withColumn("_place", F.when(~F.col("score").eqNullSafe(F.lag("score").over(order)), place).cast("long"))
+    sides = sides.withColumn("rank", F.max("_place").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     g = sides.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct((-F.coalesce("contextual_score", F.lit(0.0))).alias("k"), "id", "matched_id", "score"))).alias("m"),
+        F.array_sort(F.collect_list(F.struct((-F.coalesce("contextual_score", F.lit(0.0))).alias("k"), "id", "matched_id", "score", "rank"))).alias("m"),
         F.min("score").alias("min_score"), F.max("score").alias("max_score"), F.min("contextual_score").alias("min_contextual_score"), F.least(F.max("contextual_score"), F.lit(100.0)).alias("max_contextual_score"),
         F.count("*").cast("int").alias("match_count"), F.avg("score").alias("average_score"), F.coalesce(F.stddev_samp("score"), F.lit(0.0)).alias("std"), F.percentile("score", F.lit(0.5)).alias("median"),
     )
-    start = F.struct(F.array().cast("array<long>").alias("ranks"), F.lit(0.0).alias("last"))
-    place = lambda a, x: F.when((F.size(a["ranks"]) > 0) & (x["score"] == a["last"]), F.element_at(a["ranks"], -1)).otherwise((F.size(a["ranks"]) + 1).cast("long"))
-    ranks = F.aggregate("m", start, lambda a, x: F.struct(F.concat(a["ranks"], F.array(place(a, x))).alias("ranks"), x["score"].alias("last")), lambda a: a["ranks"])
     g = g.withColumn("contextual_scores", F.transform("m.k", lambda x: -x))
     low, width = F.col("min_score"), F.col("max_contextual_score") - F.col("min_contextual_score")
     shares = _share_columns(low, width, "contextual_scores")
-    out = g.select(*key, F.col("m.matched_id").alias("matched_document_version_ids"), F.col("m.id").alias("match_ids"), F.col("m.score").alias("scores"), F.transform("contextual_scores", lambda x: F.least(x, F.lit(100.0))).alias("contextual_scores"), ranks.alias("rank"), "min_score", "max_score", "min_contextual_score", "max_contextual_score", "match_count", "average_score", "std", "median", *shares)
+    out = g.select(*key, F.col("m.matched_id").alias("matched_document_version_ids"), F.col("m.id").alias("match_ids"), F.col("m.score").alias("scores"), F.transform("contextual_scores", lambda x: F.least(x, F.lit(100.0))).alias("contextual_scores"), F.col("m.rank").alias("rank"), "min_score", "max_score", "min_contextual_score", "max_contextual_score", "match_count", "average_score", "std", "median", *shares)
     return out if types is None else out.join(types.select("document_version_id", "document_type"), "document_version_id")
 
 

@@ -53,12 +53,12 @@ def dual_match(spark: SparkSession, d: str) -> DataFrame:
 
 def entity_score(spark: SparkSession, d: str) -> DataFrame:
     """Matching by shared entities, exactly one proposal in a pair, scored."""
-    m = filters.by_type(matchers.match_entities(_entities(spark, d), "person", safe=False), _types(spark, d))
+    m = matchers.match_entities(_entities(spark, d), "person", safe=False, types=_types(spark, d))
     return _rounded(scorers.score_entities(m), "score")
 
 
 def entity_details(spark: SparkSession, d: str) -> DataFrame:
-    m = filters.by_type(matchers.match_entities(_entities(spark, d), "person", safe=False), _types(spark, d))
+    m = matchers.match_entities(_entities(spark, d), "person", safe=False, types=_types(spark, d))
     return _rounded(scorers.entity_details(m).drop("entities_score"), "score", "score_factor")
 
 
@@ -160,8 +160,8 @@ _TYPE_OF = "t as (select document_version_id d, min(document_type) t, min(date)
 SQL = {
     "entity_match": f"with {_TF} {_PAIRS}, round(log10((select docs from n) / per.docs), 6) idf, 'person' score_type from tf a join tf b on a.x = b.x and a.d < b.d join per on per.x = a.x",
     "entity_match_safe": f"with {_TF} {_PAIRS}, round(log10((select docs from n) / per.docs), 6) idf, 'formula' score_type from tf a join tf b on a.x = b.x and a.d < b.d join per on per.x = a.x where per.occ < (select docs // 500 from n)",
-    "entity_match_by_postings": f"with {_TF} {_PAIRS}, round(log10((select nrows from n) / per.docs), 6) idf, 'person' score_type from tf a join tf b on a.x = b.x and a.d < b.d join per on per.x = a.x where per.docs <= 25",
-    "excluded_entities": f"with {_TF} select x entity_id, docs documents from per where docs > 25",
+    "entity_match_by_postings": f"with {_TF} {_PAIRS}, round(log10((select nrows from n) / per.docs), 6) idf, 'person' score_type from tf a join tf b on a.x = b.x and a.d < b.d join per on per.x = a.x where per.docs <= 2000",
+    "excluded_entities": f"with {_TF} select x entity_id, docs documents from per where docs > 2000",
     "dual_match": f"{_DUAL} select * from o",
     "entity_score": f"{_SCORED} select (d1 * 100000000 + d2) * 100 + 1 id, d1 document_version1_id, d2 document_version2_id, 'person' score_type, round(sum(total * (1 + 3 * team)), 6) score, sum(k)::bigint item_count from g group by d1, d2",
     "entity_details": f"{_SCORED} select d1 document_version1_id, d2 document_version2_id, 'person' score_type, k entities_count, xs entities_ids, round(team, 6) score_factor, round(total * (1 + 3 * team), 6) score from g",

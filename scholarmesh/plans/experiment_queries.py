@@ -11,6 +11,9 @@ from scholarmesh.plans.score_queries import WEIGHTS, _candidates
 from scholarmesh.runtime import read, stored
 from scholarmesh.sources import readers
 
+#: Words of clusters and topics at most; as many as any corpus has.
+VOCABULARY = 1_000_000
+
 
 def _words(spark: SparkSession, d: str) -> DataFrame:
     t = read(spark, d, "documents").select(F.col("doc_id").alias("document_version_id"), "text")
@@ -18,7 +21,7 @@ def _words(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _clusters(spark: SparkSession, d: str, features: str) -> DataFrame:
-    return corpus_models.kmeans(_words(spark, d), 10, features, 2_000)
+    return corpus_models.kmeans(_words(spark, d), 10, features, VOCABULARY)
 
 
 def clusters_tfidf(spark: SparkSession, d: str) -> DataFrame:
@@ -35,11 +38,11 @@ def clusters_word2vec(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topics(spark: SparkSession, d: str) -> DataFrame:
-    return corpus_models.topics(_words(spark, d), 8, 2_000, 5)[0]
+    return corpus_models.topics(_words(spark, d), 8, VOCABULARY, 5)[0]
 
 
 def assigned_topics(spark: SparkSession, d: str) -> DataFrame:
-    return corpus_models.assigned_topics(corpus_models.topics(_words(spark, d), 8, 2_000, 5)[1])
+    return corpus_models.assigned_topics(corpus_models.topics(_words(spark, d), 8, VOCABULARY, 5)[1])
 
 
 def weighted_pairs(spark: SparkSession, d: str) -> DataFrame:

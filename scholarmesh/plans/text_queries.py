@@ -59,7 +59,7 @@ def text_score(spark: SparkSession, d: str) -> DataFrame:
 
 def cosine_score(spark: SparkSession, d: str) -> DataFrame:
     n = stored(_names(spark, d))
-    return scorers.score_cosine(matchers.match_cosine(n, n, 0.6)).withColumn("score", F.round("score", 6))
+    return scorers.score_cosine(matchers.match_cosine(n, n, 0.15)).withColumn("score", F.round("score", 6))
 
 
 def word_score(spark: SparkSession, d: str) -> DataFrame:
@@ -71,7 +71,7 @@ def word_score_by_frequency(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rare_words(spark: SparkSession, d: str) -> DataFrame:
-    return analysers.rare_words(_plain(spark, d), 5)
+    return analysers.rare_words(_plain(spark, d), 50)
 
 
 def ngram_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -174,7 +174,7 @@ f as (select d, list_transform(k, lambda x: x.w) ws, list_transform(k, lambda x:
 _GRAMS = f"""
 {_WORDS},
 g as (select d, min(i) p, gram from (select d, unnest(range(0, greatest(len(ws) - 3, 0))) i, ws from f) q, lateral (select array_to_string(ws[i + 1 : i + 4], ' ') gram) group by d, gram),
-s as (select gram from g group by gram having count(*) between 2 and 99),
+s as (select gram from g group by gram having count(*) between 2 and 1999),
 m as (select x.d d1, y.d d2, x.p p1, y.p p2 from g x join g y on x.gram = y.gram and x.d < y.d where x.gram in (select gram from s))
 """
 _BLOCKS = f"""
@@ -210,13 +210,13 @@ with {_NAMES}, df as (select w, count(*) df from w group by w),
 u as (select d, w, tf * ln(((select n from n) + 1) / (df + 1)) x from w join df using (w)), nm as (select d, sqrt(sum(x * x)) z from u where x > 0 group by d),
 v as (select d, w, x / z x from u join nm using (d) where x > 0),
 p as (select a.d d1, b.d d2, least(sum(a.x * b.x), 1.0) c from v a join v b on a.w = b.w and a.d < b.d group by 1, 2)
-select (d1 * 100000000 + d2) * 100 + 15 id, d1 document_version1_id, d2 document_version2_id, 'cosine_title' score_type, round(c * 100, 6) score, 1::bigint item_count from p where c > 0.6
+select (d1 * 100000000 + d2) * 100 + 15 id, d1 document_version1_id, d2 document_version2_id, 'cosine_title' score_type, round(c * 100, 6) score, 1::bigint item_count from p where c > 0.15
 """,
     "word_score": f"{_WORD} round(sum(100 * idf * (t1 + t2) / (o1 + o2)), 6) score, count(*) item_count from p group by d1, d2 having count(*) >= 2",
     "word_score_by_frequency": f"{_WORD} round(sum(100 * idf / (t1 + t2) / (o1 + o2)), 6) score, count(*) item_count from p group by d1, d2 having count(*) >= 2",
     "rare_words": f"""
 with {_WORDS}, e as (select d, unnest(ws) w from f), v as (select d, w from e where regexp_full_match(w, '\\p{{L}}{{5,90}}')),
-tf as (select d, w, count(*) tf from v group by d, w), tot as (select w, sum(tf)::bigint total from tf group by w having sum(tf) between 2 and 5)
+tf as (select d, w, count(*) tf from v group by d, w), tot as (select w, sum(tf)::bigint total from tf group by w having sum(tf) between 2 and 50)
 select d document_version_id, w entity, tf, total from v join tf using (d, w) join tot using (w)
 """,
     "codes": "with t as (select doc_id, replace(replace(concat_ws(' ', proposal_code, text), chr(10), ''), chr(13), '') x from documents), e as (select doc_id, unnest(regexp_extract_all(x, '" + identifiers.CODE + "')) code from t) select * from e where length(code) > 4",
