@@ -89,6 +89,9 @@ def term_index(texts: DataFrame, dictionary: DataFrame, longest: int = 5) -> Dat
     g = ngrams(texts, longest)
     n = F.lit(texts.select("document_version_id").distinct().count())
     terms = dictionary.select("tag_id", "tag", F.when(F.col("use_stemming") & (F.length("name") > 5), stem_word(F.lower("name"))).otherwise(F.lower("name")).alias("stem")).distinct()
+    # a stem keeps its gram's beginning: the first of several words, two letters of a single one; what can't be a term isn't stemmed
+    start = lambda c: F.when(F.contains(c, F.lit(" ")), F.substring_index(c, " ", 1)).otherwise(F.substring(c, 1, 2))
+    g = g.withColumn("_start", start(F.col("gram"))).join(small_side(terms.select(start(F.col("stem")).alias("_start")).distinct()), "_start", "left_semi").drop("_start")
     keyed = g.withColumn("stem", F.when(F.length("gram") > 5, stem_word("gram")).otherwise(F.col("gram")))
     hit = stored(keyed.join(small_side(terms), "stem"))
     idf = hit.groupBy("stem").agg(F.log10(n / F.count_distinct("document_version_id")).alias("idf"))

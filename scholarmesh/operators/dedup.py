@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scholarmesh.functions import strings as S
 from scholarmesh.operators.graph import components
+from scholarmesh.runtime import cut
 
 
 def clean_email(c: Column) -> Column:
@@ -71,8 +72,9 @@ def names_fit(a: str = "a", b: str = "b") -> Column:
 def person_links(person: DataFrame) -> DataFrame:
     """(id1, id2), id1 > id2, of cleaned persons of one blocking key whose names fit.
 
-    Persons with the same cleaned names are linked to the least id of them, and only those least ids are compared, so a
-    name that a third of all rows carry costs one comparison; the components are those of all pairs.
+    Persons with the same cleaned names are one in comparisons, that of the least id, so a name that a third of all rows
+    carry costs one comparison. They are linked to that id if they fit each other, or if it fits anyone, who fits them all
+    then; the components are those of all pairs.
     """
     names = ["first_lastname", "firstname", "lastname", "publication_name"]
     c = clean_persons(person).select("id", *names).filter("first_lastname is not null and id is not null").distinct()
@@ -80,9 +82,10 @@ def person_links(person: DataFrame) -> DataFrame:
     rep = c.groupBy("_n").agg(F.min("id").alias("rid"))
     whole = rep.select("rid", "_n.*")
     a, b = whole.alias("a"), whole.alias("b")
-    between = a.join(b, (F.col("a.first_lastname") == F.col("b.first_lastname")) & (F.col("a.rid") > F.col("b.rid"))).filter(names_fit()).select(F.col("a.rid").alias("id1"), F.col("b.rid").alias("id2"))
+    between = cut(a.join(b, (F.col("a.first_lastname") == F.col("b.first_lastname")) & (F.col("a.rid") > F.col("b.rid"))).filter(names_fit()).select(F.col("a.rid").alias("id1"), F.col("b.rid").alias("id2")))
     alone = whole.alias("a").join(whole.alias("b"), F.col("a.rid") == F.col("b.rid")).filter(names_fit()).select(F.col("a.rid").alias("rid"))
-    same = c.join(rep, "_n").filter("id > rid").join(alone, "rid").select(F.col("id").alias("id1"), F.col("rid").alias("id2"))
+    fit = alone.union(between.select("id1")).union(between.select("id2")).distinct()
+    same = c.join(rep, "_n").filter("id > rid").join(fit, "rid").select(F.col("id").alias("id1"), F.col("rid").alias("id2"))
     return between.union(same)
 
 

@@ -130,7 +130,31 @@ k as (select id, min(id) over (partition by raw, country) m from l)
 _V = "v as (select doc_id id, doc_id + 7 document_id, md5(text) doi, coalesce(source, '') importer, coalesce(doc_kind <> 'excerpt', false) ft from documents where length(trim(text)) > 5)"
 _DUP = f"{_V}, dup as (select distinct l.id loser_id, w.id winner_id from v w join v l on w.doi = l.doi and w.id <> l.id where w.ft and (w.importer = 'facility_portal' and l.importer <> 'facility_portal' or w.importer = l.importer and w.id < l.id))"
 
+_PLAIN = "regexp_replace(strip_accents(replace(replace(replace(replace(replace(replace(replace({x}, 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'a¨', 'ae'), 'o¨', 'oe'), 'u¨', 'ue'), 'oe', 'o')), '[^\\x00-\\x7F]', '', 'g')"
+_of = lambda x: _PLAIN.replace("{x}", x)
+_spaced = lambda x, signs: f"trim(regexp_replace(regexp_replace({x}, '[{signs}]', ' ', 'g'), ' +', ' ', 'g'))"
+_CLEAN = f"""
+p0 as (select *, trim(email) e0, case when contains(publication_name, ',') then split_part(publication_name, ',', 1) else split_part(publication_name, ' ', 1) end named from person),
+p1 as (select *, case when contains(e0, '<') and contains(e0, '>') then trim(regexp_extract(e0, '<([^>]*)>', 1)) else e0 end e1 from p0),
+p2 as (
+  select id, coalesce(obsolete, false) gone, {_spaced("trim(" + _of("firstname") + ")", ".-")} firstname, {_of("trim(replace(coalesce(nullif(lastname, ''), named), '-', ' '))")} lastname,
+    case when length({_of("publication_name")}) >= 4 then {_spaced(_of("publication_name"), ".,")} end publication_name,
+    case when e1 <> '' and regexp_matches(e1, {_EMAIL}) then e1 end email, nullif(orcid_id, '') orcid_id, nullif(researcher_id, '') researcher_id from p1),
+p3 as (select *, split_part(lastname, ' ', 1) first_lastname from p2)
+"""
+_fits = lambda a, b: f"coalesce({a}.first_lastname <> '' and {a}.firstname <> '' and {b}.publication_name <> '' and (starts_with({b}.publication_name, {a}.first_lastname || ' ' || {a}.firstname[1]) or starts_with({b}.publication_name, {a}.first_lastname || ' ') and ends_with({b}.publication_name, ' ' || {a}.firstname) or ends_with({b}.publication_name, ' ' || {a}.first_lastname) and starts_with({b}.publication_name, {a}.firstname || ' ')), false)"
+
 SQL = {
+    "person_clean": f"with {_CLEAN} select distinct id, firstname, lastname, publication_name, email, orcid_id, researcher_id, first_lastname from p3",
+    "person_dedup": f"""
+with recursive {_CLEAN},
+c as (select distinct id, firstname, publication_name, first_lastname from p3 where not gone and first_lastname is not null),
+l as (
+  select distinct a.id x, b.id y from c a join c b on a.first_lastname = b.first_lastname and a.id <> b.id
+  where {_fits("a", "b")} or {_fits("b", "a")} or a.first_lastname <> '' and coalesce(a.firstname <> '' and b.firstname <> '' and a.firstname[1] = b.firstname[1], false)),
+reach(v, u) as (select x, x from l union select r.v, l.y from reach r join l on l.x = r.u)
+select v lookup_id, min(u) canonical_id from reach group by v having min(u) < v
+""",
     "person_emails_clean": f"with t as (select distinct id, trim(email) e from person), u as (select id, case when contains(e, '<') and contains(e, '>') then trim(regexp_extract(e, '<([^>]*)>', 1)) else e end e from t) select distinct id, case when e <> '' and regexp_matches(e, {_EMAIL}) then e end email from u",
     "laboratory_links": f"with {_LAB} select id id1, m id2 from k where id > m",
     "laboratory_dedup": f"with {_LAB} select id lookup_id, m canonical_id from k where id > m",

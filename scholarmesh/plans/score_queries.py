@@ -22,8 +22,8 @@ def _candidates(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("id", "document_version1_id", "document_version2_id", "document1_type", "score_type").agg(F.max("score").alias("score"), F.max("item_count").alias("item_count"))
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({f.name: F.round(f.name, 9) for f in df.schema if f.dataType.typeName() == "double"})
+def _rounded(df: DataFrame, places: int = 9) -> DataFrame:
+    return df.withColumns({f.name: F.round(f.name, places) for f in df.schema if f.dataType.typeName() == "double"})
 
 
 def normalised(spark: SparkSession, d: str) -> DataFrame:
@@ -43,7 +43,7 @@ def totals(spark: SparkSession, d: str) -> DataFrame:
 def total_statistics(spark: SparkSession, d: str) -> DataFrame:
     t = statistics.totals(_candidates(spark, d), spark.createDataFrame(WEIGHTS, "score_type string, weight double"))
     t = t.withColumns({c: F.round(c, 9) for c in ("score", "contextual_score")})
-    return _rounded(statistics.total_statistics(t, readers.document_types(read(spark, d, "document_version"))))
+    return _rounded(statistics.total_statistics(t, readers.document_types(read(spark, d, "document_version"))), 6)
 
 
 def score_list(spark: SparkSession, d: str) -> DataFrame:
@@ -89,10 +89,10 @@ _TY = "ty as (select document_version_id d, min(document_type) document_type fro
 _P = (10, 20, 50, 80, 90)
 
 
-def _share(low: str, width: str, v: str) -> str:
+def _share(low: str, width: str, v: str, places: int = 9) -> str:
     at = {p: f"({low} + {width} * ({p}::double / 100))" for p in _P}
     n = {p: f"len(list_filter({v}, lambda z: z >= {at[p]}))" for p in _P}
-    return ", ".join([f"{n[p]} percentile{p}_count" for p in _P] + [f"round({at[p]}, 9) percentile{p}" for p in _P] + [f"round(100.0 * {n[p]} / match_count, 9) percentile{p}_percent" for p in _P])
+    return ", ".join([f"{n[p]} percentile{p}_count" for p in _P] + [f"round({at[p]}, {places}) percentile{p}" for p in _P] + [f"round(100.0 * {n[p]} / match_count, {places}) percentile{p}_percent" for p in _P])
 
 
 _LAB = "lab as (select proposal_id pr, publication_id pu, max(accepted) accepted from labelled_pair where accepted is not null group by 1, 2)"
@@ -114,6 +114,19 @@ select d document_version_id, st score_type, matched_document_version_ids, match
 from g join ty using (d)
 """,
     "score_totals": f"with {_TOTAL} select id, d1 document_version1_id, d2 document_version2_id, 'total' score_type, score, cs contextual_score from tot",
+    "score_total_statistics": f"""
+with {_TOTAL}, {_TY},
+v as (select * from tot where score <> 0),
+u as (select d1 d, d2 m, id, score, cs from v union all select d2, d1, id, score, cs from v),
+placed as (select *, coalesce(cs, 0) c0, row_number() over w place, lag(score) over w before from u window w as (partition by d order by coalesce(cs, 0) desc, id)),
+r as (select *, max(case when score is distinct from before then place end) over (partition by d order by place) rk from placed),
+g as (
+  select d, list(m order by place) matched_document_version_ids, list(id order by place) match_ids, list(score order by place) scores, list(c0 order by place) cl, list(rk order by place) as "rank",
+    min(score) min_score, max(score) max_score, min(cs) min_contextual_score, least(max(cs), 100.0) max_contextual_score, count(*)::int match_count, avg(score) average_score, coalesce(stddev_samp(score), 0) std, quantile_cont(score, 0.5) median
+  from r group by d)
+select d document_version_id, 'total' score_type, matched_document_version_ids, match_ids, scores, list_transform(cl, lambda z: least(z, 100.0)) contextual_scores, "rank", round(min_score, 6) min_score, round(max_score, 6) max_score, round(min_contextual_score, 6) min_contextual_score, round(max_contextual_score, 6) max_contextual_score, match_count, round(average_score, 6) average_score, round(std, 6) std, round(median, 6) median, {_share("min_score", "(max_contextual_score - min_contextual_score)", "cl", 6)}, document_type
+from g join ty using (d)
+""",
     "score_list": f"with {_C}, {_O}, l as (select proposal_id pr, publication_id pu, max(accepted) accepted from labelled_pair group by 1, 2) select pr proposal_id, pu publication_id, "
     + ", ".join(f"coalesce(max(score) filter (st = '{k}'), 0) {k}" for k in KINDS)
     + ", count(distinct st) type_count, any_value(accepted) accepted from o left join l using (pr, pu) group by pr, pu",
