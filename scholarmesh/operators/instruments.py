@@ -15,6 +15,8 @@ from pyspark.sql.window import Window
 from scholarmesh.functions.linguistic import CONTENT_TAGS, tag
 from scholarmesh.functions.strings import bold, contains_slice, multiset_overlap, short_words
 from scholarmesh.operators.analysers import code_mentions, words_of
+from scholarmesh.runtime import stored
+from scholarmesh.sources.schemas import is_proposal
 
 CONFIDENT, REJECTED = 100, -100
 #: Catalogue columns that a mention's context is compared with.
@@ -33,8 +35,10 @@ def code_list(catalogue: DataFrame, aliases: DataFrame) -> DataFrame:
     return both.groupBy("code").agg(F.min("entity_id").alias("entity_id"), (F.count("*") > 1).alias("duplicated_code"))
 
 
-def mentions(texts: DataFrame, codes: DataFrame, around: int = 15) -> DataFrame:
-    """Mentions of codes in the joined texts of a document, with context; confidence 0."""
+def mentions(texts: DataFrame, codes: DataFrame, around: int = 15, types: DataFrame | None = None) -> DataFrame:
+    """Mentions of codes in the joined texts of a document, with context; confidence 0. types: leaves proposals out."""
+    if types is not None:
+        texts = texts.join(types.filter(~F.coalesce(is_proposal(F.col("document_type")), F.lit(False))), "document_version_id", "left_semi")
     one = texts.groupBy("document_version_id").agg(F.array_join(F.array_sort(F.collect_list("text")), " ").alias("text"))
     return code_mentions(one, codes, around).withColumn("confidence", F.lit(0))
 
@@ -125,3 +129,28 @@ def final(predicted: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def highlighted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("sentence", bold(F.array_join("context", " "), F.col("code")))
+
+
+def candidates(texts: DataFrame, types: DataFrame, catalogue: DataFrame, aliases: DataFrame, decisions: DataFrame, stop: list[str], limit: float) -> tuple[DataFrame, DataFrame]:
+    """(rows per document and instrument, codes): mentions of codes in documents other than proposals, labelled, scored by
+    the word models and the catalogue, without codes that too many documents mention, gathered by instrument."""
+    codes = stored(code_list(catalogue, aliases))
+    found = stored(labelled(mentions(texts, codes, types=types), decisions))
+    general, by_code = word_model(found, codes, stop), word_model_by_code(found, stop)
+    kept = without_frequent(scored(found, catalogue, general, by_code), types.count(), limit)
+    return by_instrument(kept, codes), codes
+
+
+def analysed(texts: DataFrame, types: DataFrame, catalogue: DataFrame, aliases: DataFrame, decisions: DataFrame, uses: DataFrame, stop: list[str], limit: float = 0.5, kind: str = "forest", **options: int) -> tuple[DataFrame, float]:
+    """((document_version_id, entity_id, confidence, prediction, sentence), accuracy): the whole finder. Instruments that
+    proposals declare; for other documents those that a classifier, trained on labelled mentions, predicts and nobody
+    rejected, or that are sure; of codes that mean one instrument only. sentence: the context with its code marked."""
+    rows, codes = candidates(texts, types, catalogue, aliases, decisions, stop, limit)
+    rows = stored(rows)
+    sure = rows.filter(F.abs("confidence") == CONFIDENT).withColumn("label", (F.col("confidence") == CONFIDENT).cast("double"))
+    model, accuracy = trained(sure, kind, **options)
+    predicted = model.transform(with_short_words(rows))
+    single = codes.filter("not duplicated_code").select("code")
+    out = highlighted(final(predicted, decisions.filter("decision < 0")).join(single, "code", "left_semi"))
+    declared_ones = declared(uses).withColumn("sentence", F.lit(None).cast("string"))
+    return out.select("document_version_id", "entity_id", "confidence", "prediction", "sentence").unionByName(declared_ones), accuracy

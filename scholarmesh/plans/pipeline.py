@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+import os
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, fields
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -20,7 +21,8 @@ class PipelineError(ValueError):
 
 @dataclass(frozen=True)
 class Stage:
-    """run(config, inputs) gives the table `output`, which keeps the contract `schema` if one is named. optional: without
+    """run(config, inputs) gives the table `output`, which keeps the contract `schema` if one is named; accepts names the
+    contracts that inputs must keep. optional: without
     its inputs, or where run gives None, the first input is passed on under its output name. keep: persist the output,
     for one that several later stages read."""
 
@@ -31,6 +33,7 @@ class Stage:
     schema: str | None = None
     optional: bool = False
     keep: bool = False
+    accepts: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass
@@ -51,16 +54,16 @@ def _chain(functions: Sequence[Callable[[DataFrame], DataFrame]]) -> Callable[[D
     return lambda df: reduce(lambda d, f: d.transform(f), functions, df)
 
 
-def standard_stages() -> list[Stage]:
-    """Initialise, analyse, match, filter, score, edit."""
+def standard_stages(scores: str | None = None) -> list[Stage]:
+    """Initialise, analyse, match, filter, score, edit. scores: the contract that scored pairs keep, before and after editing."""
     module = lambda attr, src: lambda c, t: getattr(c, attr)(t[src]) if getattr(c, attr) else None
     return [
         Stage("initialisation", lambda c, _: c.source(), [], "input"),
         Stage("analyser", module("analyser", "input"), ["input"], "analysed", optional=True),
         Stage("matcher", module("matcher", "analysed"), ["analysed"], "matched", optional=True),
         Stage("filter", lambda c, t: _chain(c.filters)(t["matched"]), ["matched"], "filtered", optional=True),
-        Stage("scoring", module("scorer", "filtered"), ["filtered"], "scored", optional=True),
-        Stage("match editor", lambda c, t: _chain(c.editors)(t["scored"]), ["scored"], "edited", optional=True),
+        Stage("scoring", module("scorer", "filtered"), ["filtered"], "scored", scores, optional=True),
+        Stage("match editor", lambda c, t: _chain(c.editors)(t["scored"]), ["scored"], "edited", scores, optional=True, accepts={"scored": scores} if scores else {}),
     ]
 
 
@@ -105,6 +108,8 @@ class Pipeline:
         return self
 
     def _run_stage(self, c: Config, s: Stage) -> None:
+        for i, contract in s.accepts.items():
+            validate(c.tables[i], contract)
         out = s.run(c, {i: c.tables[i] for i in s.inputs})
         if out is None:
             if not s.optional or not s.inputs:
@@ -139,3 +144,14 @@ class Settings:
     window: int = 8
     areas: int = 40
     fixed_weights: tuple[tuple[str, float], ...] = (("doi", 1.0), ("proposal_code", 1.0))
+
+    @classmethod
+    def from_environment(cls, prefix: str = "SCHOLARMESH_", **given: object) -> "Settings":
+        """The defaults, in place of them whole and broken numbers from the environment (SCHOLARMESH_WINDOW=4 for window), in
+        place of both what is given."""
+        found: dict[str, object] = {}
+        for f in fields(cls):
+            text = os.environ.get(prefix + f.name.upper())
+            if text is not None and isinstance(f.default, (int, float)):
+                found[f.name] = type(f.default)(text)
+        return cls(**found | given)

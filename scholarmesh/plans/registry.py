@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarmesh.plans import entity_queries, experiment_queries, record_queries, score_queries, text_queries
+from scholarmesh.plans import detail_queries, entity_queries, experiment_queries, record_queries, score_queries, text_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (entity_queries, score_queries, text_queries, record_queries, experiment_queries)
+_MODULES = (entity_queries, score_queries, text_queries, record_queries, experiment_queries, detail_queries)
 
 
 def flagship(spark: SparkSession, directory: str) -> DataFrame:

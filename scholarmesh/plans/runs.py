@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 
 from scholarmesh.operators import analysers, dedup, filters, matchers, scorers, statistics, weights
 from scholarmesh.plans.pipeline import Config, Pipeline, Settings, standard_stages
-from scholarmesh.sources import readers
+from scholarmesh.runtime import stored
+from scholarmesh.sources import readers, writers
 
 
 def evidence(name: str, source: DataFrame, s: Settings, corpus: DataFrame | None = None, owned: DataFrame | None = None) -> Config:
@@ -37,20 +38,30 @@ def evidence(name: str, source: DataFrame, s: Settings, corpus: DataFrame | None
     return c
 
 
-def match(sources: Mapping[str, DataFrame], versions: DataFrame, s: Settings | None = None, corpus: DataFrame | None = None, owned: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def match(sources: Mapping[str, DataFrame], versions: DataFrame, s: Settings | None = None, corpus: DataFrame | None = None, owned: Mapping[str, DataFrame] | None = None, dated: bool = True, counted: bool = True) -> dict[str, DataFrame]:
     """Candidates of all given evidence types: filtered by type, validity and date, joined, kept where more than one type
-    or a person agrees, and their statistics. Keys: match_candidate, match_candidate_stats."""
+    or a person agrees, and their statistics. Keys: match_candidate, match_candidate_stats. A source named picture holds
+    hashes, which are compared for pairs that other evidence has matched. dated, counted: False leaves the date filter
+    or the statistics out, for trial runs."""
     s = s or Settings()
     types, dates, valid = readers.document_types(versions), readers.document_dates(versions), readers.valid_ids(versions)
     p = Pipeline()
-    for stage in standard_stages():
+    for stage in standard_stages("similarity"):
         p.add_stage(stage)
+    hashes = sources.get("picture")
     for name, source in sources.items():
+        if name == "picture":
+            continue
         c = evidence(name, source, s, corpus, (owned or {}).get(name))
-        c.filters = [lambda m: filters.by_type(m, types), lambda m: filters.by_valid_id(m, valid), lambda m: filters.by_date(m, dates)]
+        c.filters = [lambda m: filters.by_type(m, types), lambda m: filters.by_valid_id(m, valid)]
+        c.filters += [lambda m: filters.by_date(m, dates)] if dated else []
         p.add_config(c)
-    candidates = statistics.persisted(filters.by_number_of_types(p.run().union("edited"), "person"), types)
-    return {"match_candidate": candidates, "match_candidate_stats": statistics.document_statistics(candidates, types)}
+    found = filters.by_number_of_types(p.run().union("edited"), "person")
+    if hashes is not None:
+        found = stored(found)
+        found = found.unionByName(scorers.score_pictures(matchers.match_pictures_of_pairs(found, hashes), s.picture_threshold))
+    candidates = statistics.persisted(found, types)
+    return {"match_candidate": candidates} | ({"match_candidate_stats": statistics.document_statistics(candidates, types)} if counted else {})
 
 
 def optimise(candidates: DataFrame, labelled: DataFrame, types: DataFrame, s: Settings | None = None) -> dict[str, DataFrame]:
@@ -69,3 +80,10 @@ def word_statistics(texts: DataFrame, general: DataFrame) -> dict[str, DataFrame
 def deduplicate(person: DataFrame, laboratory: DataFrame) -> dict[str, DataFrame]:
     """Keys: person_deduplication_lookup, laboratory_deduplication_lookup."""
     return {"person_deduplication_lookup": dedup.deduplicate_persons(person), "laboratory_deduplication_lookup": dedup.deduplicate_laboratories(laboratory)}
+
+
+def write(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
+    """Writes the tables of a run to a folder, each by its mode."""
+    for name, df in tables.items():
+        writers.write(df, folder, name)
+    return list(tables)

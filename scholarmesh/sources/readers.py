@@ -95,6 +95,31 @@ def pictures(files: DataFrame, prefix: str) -> DataFrame:
     return files.filter(F.col("mime_type").isin(IMAGES)).select("document_version_id", F.concat(F.lit(prefix), F.col("file_path")).alias("file_path"))
 
 
+def plain_texts(files: DataFrame, versions: DataFrame, prefix: str = "") -> DataFrame:
+    """(document_version_id, file_path) of plain text files of versions that aren't obsolete."""
+    f = files.filter(F.col("mime_type") == "text/plain").select("document_version_id", F.concat(F.lit(prefix), F.col("file_path")).alias("file_path"))
+    return f.join(valid_ids(versions), "document_version_id", "left_semi")
+
+
+def learned_weights(weights: DataFrame) -> DataFrame:
+    """(score_type, weight) as the optimiser wrote them."""
+    return weights.select("score_type", F.col("weight").cast("double").alias("weight"))
+
+
+def document_instruments(uses: DataFrame, documents: DataFrame) -> DataFrame:
+    """Distinct (document_version_id, entity_id): the instruments that known documents declare."""
+    return uses.join(documents.select("document_version_id").distinct(), "document_version_id", "left_semi").select("document_version_id", F.col("instrument_id").alias("entity_id")).distinct()
+
+
+def instrument_aliases(aliases: DataFrame) -> DataFrame:
+    return aliases.select("instrument_id", "alias")
+
+
+def word_specifics(specific: DataFrame) -> DataFrame:
+    """(document_version_id, entities): the sorted distinct lemmas that are typical of each document."""
+    return specific.groupBy("document_version_id").agg(F.array_sort(F.collect_set("lemma")).alias("entities"))
+
+
 def training_ids(labelled: DataFrame) -> DataFrame:
     return labelled.select(F.explode(F.array("proposal_id", "publication_id")).alias("document_version_id")).distinct()
 
@@ -122,8 +147,9 @@ def document_sources(versions: DataFrame) -> DataFrame:
     return versions.select("document_version_id", F.col("source").alias("entity")).distinct()
 
 
-def instrument_catalogue(instrument: DataFrame, laboratory: DataFrame, technique: DataFrame) -> DataFrame:
-    """Fixed instruments with their laboratory and the sorted list of their techniques."""
+def instrument_catalogue(instrument: DataFrame, laboratory: DataFrame, technique: DataFrame, fixed: str = "fixed") -> DataFrame:
+    """Fixed instruments (all, where there is no such column) with their laboratory and the sorted list of their techniques."""
+    instrument = instrument.filter(F.col(fixed)).drop(fixed) if fixed in instrument.columns else instrument
     t = technique.groupBy("instrument_id").agg(F.array_sort(F.collect_list("technique")).alias("scientific_technique"))
     return instrument.join(laboratory, "laboratory_id").join(t, "instrument_id")
 

@@ -34,3 +34,15 @@ def swap(spark: SparkSession, staging: str, live: str, failed: bool = False) ->
 def run_info(spark: SparkSession, **values: object) -> DataFrame:
     """(key, value, at) rows for match_run_info."""
     return spark.createDataFrame([(k, str(v)) for k, v in values.items()], "key string, value string").withColumn("at", F.current_timestamp())
+
+
+def view(df: DataFrame, rows: int = 20) -> DataFrame:
+    """Shows some rows and passes the table on."""
+    df.show(rows, truncate=False)
+    return df
+
+
+def counted(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Prints how many rows a table has and passes it on."""
+    print(f"{name}: {df.count()}")
+    return df

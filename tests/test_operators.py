@@ -243,3 +243,22 @@ def test_sources_and_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "live" / "match_candidate")).count() == 2
     t = readers.tokenised(spark.createDataFrame([(1, "The neutron beams of it"), (2, None)], "document_version_id long, text string")).orderBy("document_version_id").collect()
     assert (t[0].words, t[0].feature, t[0].position, t[1].words) == (["neutron", "beams"], ["neutron", "beam"], [1, 2], [])
+
+
+def test_persons_of_equal_names_link_where_anyone_fits_them(spark):
+    """Two rows without a first name don't fit each other, but both fit the third, so all are one."""
+    p = spark.createDataFrame([(1, None, "Wiri", "Wiri Viga"), (2, None, "Wiri", "Wiri Viga"), (3, "Viga", "Wiri", None), (4, None, "Sol", "Sol B"), (5, None, "Sol", "Sol B")], "id long, firstname string, lastname string, publication_name string").selectExpr("*", "cast(null as string) email", "cast(null as string) orcid_id", "cast(null as string) researcher_id", "false obsolete")
+    assert {tuple(r) for r in dedup.deduplicate_persons(p).collect()} == {(2, 1), (3, 1)}
+
+
+def test_instrument_finder(spark):
+    text = lambda k: f"we measured neutron scattering at the lumon beam line in grenoble sample {k} with great care and patience"
+    texts = spark.createDataFrame([(k, text(k)) for k in range(60)] + [(k, "a lumon is a tree of the south " * 2) for k in range(60, 100)], "document_version_id long, text string")
+    types = texts.selectExpr("document_version_id", "case when document_version_id = 0 then 'PROPOSAL' else 'PUBLICATION' end document_type")
+    catalogue = spark.createDataFrame([(4, "lumon", "LUMON", 0, "institute", "ib", "grenoble", "france", ["neutron scattering"])], "instrument_id long, instrument_name string, instrument_code string, instrument_confidence int, laboratory_name string, laboratory_short_name string, laboratory_city string, laboratory_country string, scientific_technique array<string>")
+    none = spark.createDataFrame([], "instrument_id long, alias string")
+    decisions = types.filter("document_version_id % 2 = 0").selectExpr("document_version_id", "4L entity_id", "case when document_version_id < 60 then 1 else -1 end decision")
+    uses = spark.createDataFrame([(0, 4)], "document_version_id long, instrument_id long")
+    found, accuracy = instruments.analysed(texts, types, catalogue, none, decisions, uses, ["the", "at"], 1.1, trees=5, depth=4)
+    assert {r.document_version_id for r in found.collect()} == set(range(60)) and accuracy > 0.9
+    assert found.filter("document_version_id = 1").first()["sentence"].count("<b>lumon</b>") == 1

@@ -66,3 +66,46 @@ def test_streaming(spark, tmp_path):
     incremental.each_batch(s, str(tmp_path / "ck"), lambda b, k: seen.extend(r.id for r in b.collect()))
     assert sorted(seen) == [1, 2, 3]
     assert sorted((r.n, r.total) for r in incremental.windowed(df).collect()) == [(1, 3.0), (2, 4.0)]
+
+
+def test_settings_from_the_environment(monkeypatch):
+    from scholarmesh.plans.pipeline import Settings
+
+    monkeypatch.setenv("SCHOLARMESH_WINDOW", "4")
+    monkeypatch.setenv("SCHOLARMESH_LEAST_COSINE", "0.5")
+    s = Settings.from_environment(areas=2)
+    assert (s.window, s.least_cosine, s.areas, s.ngram) == (4, 0.5, 2, 4)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from scholarmesh.__main__ import main
+
+    assert main(["--list"]) == 0 and "entity_score" in capsys.readouterr().out
+    assert main(["nothing", "a", "b"]) == 2
+    spark.createDataFrame([(1, "Anna", "Kovalenko", "Kovalenko, A.", None, None, None, False), (2, "A", "Kovalenko", None, None, None, None, False)], "id long, firstname string, lastname string, publication_name string, email string, orcid_id string, researcher_id string, obsolete boolean").write.parquet(str(tmp_path / "person.parquet"))
+    spark.createDataFrame([(1, "lab", 1), (2, "lab", 1), (3, "lab", None)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    assert main(["deduplicate", str(tmp_path), str(tmp_path / "out")]) == 0
+    for name in ("person_deduplication_lookup", "laboratory_deduplication_lookup"):
+        assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out" / name)).collect()] == [(2, 1)]
+
+
+def test_inputs_are_checked(spark):
+    import pytest
+
+    from scholarmesh.plans.pipeline import Config, Pipeline, Stage
+    from scholarmesh.sources.schemas import ContractError
+
+    p = Pipeline().add_stage(Stage("a", lambda c, _: c.source(), [], "x")).add_stage(Stage("b", lambda c, t: t["x"], ["x"], "y", accepts={"x": "valid_id"}))
+    with pytest.raises(ContractError):
+        p.add_config(Config("c", lambda: spark.range(1))).run()
+
+
+def test_remove_and_clear(spark):
+    import os
+
+    from scholarmesh import runtime
+
+    runtime.clear(spark)
+    a, b = runtime.stored(spark.range(3)), runtime.cut(spark.range(3))
+    runtime.remove(a, spark.range(1))
+    assert not os.path.exists(a._kept_as) and runtime.clear(spark) == 1 and b is not None
