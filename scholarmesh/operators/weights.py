@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scholarmesh.operators.statistics import contextual
-from scholarmesh.runtime import cut
+from scholarmesh.runtime import remove, stored
 
 #: Rank that an accepted pair should reach, and the one that counts for a pair without any score.
 THRESHOLD, ABSENT = 3, 10
-#: Weight vectors scored in one job; larger grids are scored in several.
-GRID_BLOCK = 20_000
+#: Totals of one publication that are held at once; as many as a core's cache holds.
+TOTALS = 100_000
 
 
 def weight_range(middle: int, step: int, width: int, whole: int) -> list[int]:
@@ -63,14 +65,54 @@ def evaluate(scores: DataFrame, weights: DataFrame) -> DataFrame:
     return lab.groupBy("weight_id").agg(F.sum(F.col("rank") - 1).alias("rank_sum"), within(10, "top10"), within(THRESHOLD, "top_threshold"), within(5, "top5"), within(3, "top3"), within(1, "top1"), F.count_if(yes & (F.col("rank") > THRESHOLD) | ~yes & (F.col("rank") <= THRESHOLD)).alias("error"))
 
 
-def _best(scores: DataFrame, kinds: Sequence[str], vectors: list[tuple[int, ...]], whole: int, n: int) -> list[tuple[int, tuple[int, ...]]]:
-    """The n vectors of least error, ties by vector; the grid is scored in blocks."""
-    found = []
-    for a in range(0, len(vectors), GRID_BLOCK):
-        part = vectors[a : a + GRID_BLOCK]
-        rows = evaluate(scores, weight_grid(scores.sparkSession, kinds, part, whole)).orderBy("error", "weight_id").select("weight_id", "error").limit(n).collect()
-        found += [(r["error"], part[r["weight_id"]]) for r in rows]
-    return sorted(found)[:n]
+def by_publication(scores: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """(proposal, kind, score, accepted): a row per publication with a labelled pair. Its scores of these kinds lie in three
+    arrays, candidates numbered from 0; accepted has, per candidate, 1, 0, or -1 where unlabelled."""
+    s = scores.filter(F.col("score_type").isin(*kinds)).withColumn("kind", (F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("score_type")) - 1).cast("int"))
+    each = s.groupBy("publication_id", "proposal_id").agg(F.collect_list(F.struct("kind", F.col("contextual_score").alias("score"))).alias("s"), F.coalesce(F.max("accepted").cast("int"), F.lit(-1)).alias("accepted"))
+    g = each.groupBy("publication_id").agg(F.collect_list(F.struct("accepted", "s")).alias("c")).filter("exists(c, x -> x.accepted >= 0)")
+    flat = F.flatten(F.transform("c", lambda x, i: F.transform(x["s"], lambda y: F.struct(i.alias("proposal"), y["kind"].alias("kind"), y["score"].alias("score")))))
+    g = g.select("publication_id", flat.alias("f"), F.col("c.accepted").alias("accepted"))
+    # a fixed number of tasks: each gives a row per weight vector
+    return g.select("publication_id", F.col("f.proposal").alias("proposal"), F.col("f.kind").alias("kind"), F.col("f.score").alias("score"), "accepted").repartition(2 * scores.sparkSession.sparkContext.defaultParallelism, "publication_id")
+
+
+def _wrong(scores: np.ndarray, accepted: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """The errors of one publication per weight vector, as evaluate() counts them."""
+    out = np.zeros(len(vectors), np.int64)
+    labelled = np.flatnonzero(accepted >= 0)
+    width = max(1, TOTALS // len(scores))
+    scores = scores * 1e9  # totals are compared to nine places
+    for a in range(0, len(vectors), width):
+        total = scores @ vectors[a : a + width].T
+        np.rint(total, out=total)
+        for c in labelled:
+            within = np.add.reduce(total > total[c], axis=0, dtype=np.int32) < THRESHOLD
+            within &= (total[c] != 0) | (ABSENT <= THRESHOLD)
+            out[a : a + width] += ~within if accepted[c] else within
+    return out
+
+
+def errors(packed: DataFrame, vectors: Sequence[tuple[int, ...]], whole: int) -> DataFrame:
+    """(weight_id, error): the error of evaluate() for each vector, over what by_publication gives. Totals are made and
+    ranked within a publication's task, so that no row per candidate and vector is ever shuffled."""
+    grid = np.array(vectors, np.int32).reshape(len(vectors), -1)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w = grid / whole
+        found = np.zeros(len(w), np.int64)
+        for b in batches:
+            for proposal, kind, value, accepted in zip(b["proposal"], b["kind"], b["score"], b["accepted"]):
+                table = np.zeros((len(accepted), w.shape[1]))
+                np.add.at(table, (proposal, kind), np.nan_to_num(np.asarray(value, np.float64)))
+                found += _wrong(table, np.asarray(accepted), w)
+        yield pd.DataFrame({"weight_id": np.arange(len(w)), "error": found})
+
+    return packed.mapInPandas(score, "weight_id long, error long").groupBy("weight_id").agg(F.sum("error").alias("error"))
+
+
+def _near(point: tuple[int, ...], size: int, whole: int) -> list[tuple[int, ...]]:
+    return compositions([weight_range(x, size, 1, whole) for x in point], whole)
 
 
 def search(pairs: DataFrame, labelled: DataFrame, kinds: Sequence[str], cells: int = 8, starts: int = 40, depth: int = 3, fixed: dict[str, float] | None = None) -> DataFrame:
@@ -81,22 +123,40 @@ def search(pairs: DataFrame, labelled: DataFrame, kinds: Sequence[str], cells: i
     fixed: weights of further types, added as they are.
     """
     kinds = list(kinds)
-    scores = cut(training_scores(pairs, labelled.filter("accepted is not null")).filter(F.col("score_type").isin(*kinds)))
+    packed = stored(by_publication(training_scores(pairs, labelled.filter("accepted is not null")), kinds))
     whole = 2 * cells * 2**depth
     step = 2**depth
+    known: dict[tuple[int, ...], int] = {}
+
+    def learn(vectors: Sequence[tuple[int, ...]]) -> None:
+        if new := [v for v in dict.fromkeys(vectors) if v not in known]:
+            known.update({new[r["weight_id"]]: r["error"] for r in errors(packed, new, whole).collect()})
+
     coarse = compositions([range(0, whole + 1, step)] * len(kinds), whole)
-    ahead = _best(scores, kinds, coarse, whole, starts)
+    any_label = not packed.isEmpty()
+    top = [tuple(r) for r in errors(packed, coarse, whole).orderBy("error", "weight_id").select("error", "weight_id").limit(starts).collect()] if any_label else []
+    ahead = [(e, coarse[i]) for e, i in top]
+    known |= {v: e for e, v in ahead}
+    # all starts go down side by side first, so that each round of neighbourhoods is one job
+    going = [(e, v, step // 2) for e, v in ahead]
+    while going := [x for x in going if x[2] >= 1]:
+        around = [_near(v, size, whole) for _, v, size in going]
+        learn([v for near in around for v in near])
+        best = [min((known[v], v) for v in near) for near in around]
+        going = [(*b, size) if b[0] < e else (e, v, size // 2) for (e, v, size), b in zip(going, best)]
     seen = {v: e for e, v in ahead}
     for error, point in ahead:
         size = step // 2
         while size >= 1:
-            near = [v for v in compositions([weight_range(x, size, 1, whole) for x in point], whole) if v not in seen]
-            got = _best(scores, kinds, near, whole, 1) if near else []
+            near = [v for v in _near(point, size, whole) if v not in seen]
+            learn(near)
+            got = [min((known[v], v) for v in near)] if near else []
             seen |= {v: e for e, v in got}
             if got and got[0][0] < error:
                 error, point = got[0]
             else:
                 size //= 2
+    remove(packed)
     best = min(seen, key=lambda v: (seen[v], v)) if seen else tuple([whole // max(1, len(kinds))] * len(kinds))
     rows = [(k, x / whole) for k, x in zip(kinds, best)] + list((fixed or {}).items())
-    return scores.sparkSession.createDataFrame(rows, "score_type string, weight double")
+    return pairs.sparkSession.createDataFrame(rows, "score_type string, weight double")

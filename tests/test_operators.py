@@ -143,6 +143,25 @@ def test_weights(spark):
     assert [(x.rank_sum, x.top1, x.error) for x in e] == [(0, 1, 0), (1, 0, 0)]
 
 
+def test_errors_of_weights_without_a_row_per_candidate_and_vector(spark, monkeypatch):
+    """The errors are those of evaluate(), with ties, totals of 0, types of a publication that score 0, and unlabelled
+    candidates; the scoring shuffles a row per task and vector only."""
+    random.seed(5)
+    kinds = ["person", "text", "abstract"]
+    found = [(p, 1000 + u, "PROPOSAL", k, float(random.randrange(5)) if u else 0.0) for u in range(9) for p in range(12) for k in kinds if random.random() < 0.6]
+    pairs = spark.createDataFrame(found, "document_version1_id long, document_version2_id long, document1_type string, score_type string, score double")
+    labelled = spark.createDataFrame([(random.randrange(12), 1000 + u, random.random() < 0.5) for u in range(8) for _ in range(3)], "proposal_id long, publication_id long, accepted boolean")
+    vectors = weights.compositions([range(5)] * 3, 4)
+    scores = weights.training_scores(pairs, labelled)
+    want = rows(weights.evaluate(scores, weights.weight_grid(spark, kinds, vectors, 4)).select("weight_id", "error"))
+    packed = weights.by_publication(scores, kinds)
+    assert rows(weights.errors(packed, vectors, 4)) == want and len({e for _, e in want}) > 1
+    assert packed.count() <= 8
+    monkeypatch.setattr(weights, "evaluate", None)  # the search makes no table of candidates by vectors
+    w = {r.score_type: r.weight for r in weights.search(pairs, labelled, kinds, cells=2, starts=3, depth=1).collect()}
+    assert math.isclose(sum(w.values()), 1)
+
+
 def test_filters(spark):
     pairs = spark.createDataFrame([(1, 2, "text", 1.0), (1, 3, "text", 1.0), (1, 3, "formula", 1.0), (2, 3, "person", 1.0), (1, 9, "text", 1.0)], "document_version1_id long, document_version2_id long, score_type string, score double")
     dates = spark.sql("select * from values (1L, 'PROPOSAL', timestamp'2010-05-01'), (2L, 'PUBLICATION', timestamp'2009-01-01'), (3L, 'PUBLICATION', null) as t(document_version_id, document_type, date)")
