@@ -6,7 +6,7 @@ from statistics import median, stdev
 import pytest
 from pyspark.sql import functions as F
 
-from scholarmesh.operators import analysers, corpus_models, dedup, filters, instruments, matchers, scorers, statistics, weights
+from scholarmesh.operators import analysers, corpus_models, dedup, filters, instruments, matchers, passages, scorers, statistics, weights
 from scholarmesh.operators.graph import components
 from scholarmesh.runtime import running
 from scholarmesh.plans import entity_queries
@@ -131,6 +131,30 @@ def test_normalised(spark, n, top, factor):
     assert tuple(statistics.normalised(df).agg(F.max("score"), F.max("score_factor")).first()) == (top, factor)
 
 
+@pytest.fixture
+def texts(spark):
+    """Texts over few words, so that runs repeat within and between them; one document has two rows, some have no run."""
+    random.seed(11)
+    t = [(k % 39, [random.choice("abcd") for _ in range(random.randrange(40))]) for k in range(40)]
+    return spark.createDataFrame([*t, (77, []), (78, None), (None, ["a", "b", "c", "d"])], "document_version_id long, feature array<string>")
+
+
+def test_shared_blocks(spark, texts, monkeypatch):
+    """As the join of runs gives them, with many groups of files and small pieces, but without a shuffle of pairs."""
+    monkeypatch.setattr(passages, "GROUP", 150)
+    monkeypatch.setattr(passages, "HELD", 200)
+    monkeypatch.setattr(passages, "HASHES", 50)
+    for most in (2000, 12):
+        want = matchers.text_blocks(matchers.match_text(texts, most=most))
+        got = passages.shared_blocks(texts, most=most)
+        assert got.dtypes == want.dtypes and rows(got) == rows(want) and got.count() > 100
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(passages.shared_blocks(texts, most=12, positions=False)) == rows(want.select("document_version1_id", "document_version2_id", "max_size", "block_count", "word_count"))
+    types = spark.createDataFrame([(k, "PROPOSAL" if k % 3 else "PUBLICATION") for k in range(30)], "document_version_id long, document_type string")
+    assert rows(passages.shared_blocks(texts, types=types)) == rows(filters.by_type(matchers.text_blocks(matchers.match_text(texts)), types))
+    assert passages.shared_blocks(texts.filter("document_version_id > 70")).count() == 0
+
+
 def test_weights(spark):
     assert weights.weight_range(4, 2, 2, 8) == [0, 2, 4, 6, 8]
     got = weights.compositions([range(4)] * 3, 3)
