@@ -37,7 +37,7 @@ def score_entities(similar: DataFrame, factor: float = 3.0) -> DataFrame:
 
 def score_text(blocks: DataFrame, n: int = 4, kind: str = "text") -> DataFrame:
     """Sum over blocks of their size less n - 1."""
-    return _scored(blocks, kind, F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x.cast("long") - (n - 1)).cast("double"), F.col("block_count"))
+    return _scored(blocks, kind, (F.col("word_count") - (n - 1) * F.col("block_count")).cast("double"), F.col("block_count"))
 
 
 def score_cosine(pairs: DataFrame, kind: str = "cosine_title") -> DataFrame:

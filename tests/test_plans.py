@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from scholarmesh.plans import registry, runs
+from scholarmesh.operators import matchers, scorers
+from scholarmesh.plans import registry, runs, text_queries
 from scholarmesh.plans.pipeline import Config, Pipeline, PipelineError, Settings, Stage, standard_stages
 from scholarmesh.streaming import incremental
 
@@ -45,6 +46,15 @@ def test_match_run(spark):
     assert out["match_candidate_stats"].count() == 2
 
 
+def test_text_score_shuffles_no_pairs(spark, tmp_path):
+    spark.createDataFrame([(k, f"alpha beta gamma delta omega sigma kappa{k % 2} lambda theta zeta") for k in range(6)], "document_version_id long, text string").write.parquet(str(tmp_path / "full_text.parquet"))
+    got = text_queries.text_score(spark, str(tmp_path))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    plain = text_queries._plain(spark, str(tmp_path))
+    want = scorers.score_text(matchers.text_blocks(matchers.match_text(plain)))
+    assert got.dtypes == want.dtypes and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 15
+
+
 def test_optimise_trains_all_kinds(spark):
     kinds = ("person", "formula", "text", "cosine_title", "abstract", "picture", "instrument")
     assert Settings().trained == kinds and (Settings().window, Settings().areas) == (8, 40)
