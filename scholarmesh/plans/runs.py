@@ -5,21 +5,23 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from scholarmesh.operators import analysers, dedup, filters, matchers, scorers, statistics, weights
+from scholarmesh.operators import analysers, dedup, filters, matchers, passages, scorers, statistics, weights
 from scholarmesh.plans.pipeline import Config, Pipeline, Settings, standard_stages
-from scholarmesh.runtime import stored
+from scholarmesh.runtime import small_side, stored
 from scholarmesh.sources import readers, writers
 
 
-def evidence(name: str, source: DataFrame, s: Settings, corpus: DataFrame | None = None, owned: DataFrame | None = None) -> Config:
+def evidence(name: str, source: DataFrame, s: Settings, corpus: DataFrame | None = None, owned: DataFrame | None = None, types: DataFrame | None = None) -> Config:
     """How each evidence type is matched and scored. source: entities for person, laboratory, formula and instrument; texts
     for text and abstract; tokenised titles for cosine_title (corpus: tokenised texts that weigh the words); texts for
-    referenced_doi and referenced_proposal_code (owned: what documents own)."""
+    referenced_doi and referenced_proposal_code (owned: what documents own). types: documents that texts and entities are
+    matched between, a proposal with another document."""
     c = Config(name, lambda: source)
     if name in ("text", "abstract"):
         c.analyser = readers.tokenised
-        c.matcher = lambda t: matchers.text_blocks(matchers.match_text(t, s.ngram, s.most_documents), s.ngram)
+        c.matcher = lambda t: passages.shared_blocks(t, s.ngram, s.most_documents, types, positions=False)
         c.scorer = lambda b: scorers.score_text(b, s.ngram, name)
     elif name == "cosine_title":
         c.matcher = lambda t: matchers.match_cosine(t, corpus if corpus is not None else t, s.least_cosine)
@@ -33,7 +35,7 @@ def evidence(name: str, source: DataFrame, s: Settings, corpus: DataFrame | None
         c.editors = [scorers.set_hundred]
     else:
         safe = name not in ("person", "instrument")
-        c.matcher = lambda e: matchers.match_entities(e, name, safe, s.safe_divisor)
+        c.matcher = lambda e: matchers.match_entities(e, name, safe, s.safe_divisor, types)
         c.scorer = lambda m: scorers.score_entities(m, s.score_factor)
     return c
 
@@ -49,14 +51,29 @@ def match(sources: Mapping[str, DataFrame], versions: DataFrame, s: Settings | N
     for stage in standard_stages("similarity"):
         p.add_stage(stage)
     hashes = sources.get("picture")
-    for name, source in sources.items():
-        if name == "picture":
-            continue
-        c = evidence(name, source, s, corpus, (owned or {}).get(name))
-        c.filters = [lambda m: filters.by_type(m, types), lambda m: filters.by_valid_id(m, valid)]
-        c.filters += [lambda m: filters.by_date(m, dates)] if dated else []
-        p.add_config(c)
-    found = filters.by_number_of_types(p.run().union("edited"), "person")
+
+    def scored(names: list[str], between: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+        run = p.fork()
+        for name in names:
+            c = evidence(name, sources[name], s, corpus, (owned or {}).get(name), between)
+            c.filters = [lambda m: m.join(pairs, pairs.columns, "left_semi").select(*m.columns)] if pairs is not None else []
+            c.filters += [lambda m: filters.by_type(m, types), lambda m: filters.by_valid_id(m, valid)]
+            c.filters += [lambda m: filters.by_date(m, dates)] if dated else []
+            run.add_config(c)
+        return stored(run.run().union("edited"))
+
+    long = [name for name in sources if name in ("text", "abstract")]
+    rest = [name for name in sources if name not in ("picture", *long)]
+    if len(long) == 1 and rest:
+        # a pair of texts is one row, so it stays only where there is other evidence: texts meet in those documents only
+        other = scored(rest, types)
+        pairs = other.select("document_version1_id", "document_version2_id").distinct()
+        ids = pairs.select(F.explode(F.array("document_version1_id", "document_version2_id")).alias("document_version_id")).distinct()
+        texts = scored(long, types.join(small_side(ids), "document_version_id", "left_semi"), small_side(pairs))
+        found = other.unionByName(texts, allowMissingColumns=True)
+    else:
+        found = scored(rest + long, types)
+    found = filters.by_number_of_types(found, "person")
     if hashes is not None:
         found = stored(found)
         found = found.unionByName(scorers.score_pictures(matchers.match_pictures_of_pairs(found, hashes), s.picture_threshold))

@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from scholarmesh.operators import matchers, scorers
+from scholarmesh.operators import filters, matchers, passages, scorers
 from scholarmesh.plans import registry, runs, text_queries
 from scholarmesh.plans.pipeline import Config, Pipeline, PipelineError, Settings, Stage, standard_stages
+from scholarmesh.sources import readers
 from scholarmesh.streaming import incremental
 
 
@@ -55,6 +56,26 @@ def test_text_score_shuffles_no_pairs(spark, tmp_path):
     assert got.dtypes == want.dtypes and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 15
 
 
+def test_texts_meet_only_where_there_is_other_evidence(spark, monkeypatch):
+    """The result is that of all pairs filtered afterwards, but texts meet only in documents of other pairs, and entities
+    in documents with a type."""
+    versions = spark.sql("select id document_version_id, if(id % 3 = 0, 'PROPOSAL', 'PUBLICATION') document_type, timestamp'2010-01-01' date, 's' source, id = 9 obsolete from range(30)")
+    types = readers.document_types(versions)
+    texts = spark.createDataFrame([(k, f"alpha beta gamma delta omega sigma kappa{k % 4} lambda theta zeta") for k in range(30)], "document_version_id long, text string")
+    e = spark.createDataFrame([(k, k % 7) for k in range(8)] + [(k, k % 7) for k in range(20, 60)] + [(9, 1)], "document_version_id long, entity_id long")
+    person = scorers.score_entities(filters.by_type(matchers.match_entities(e, "person", safe=False), types))
+    text = scorers.score_text(filters.by_type(matchers.text_blocks(matchers.match_text(readers.tokenised(texts))), types))
+    both = filters.by_number_of_types(filters.by_valid_id(person.unionByName(text), readers.valid_ids(versions)), "person")
+    met, entities = [], []
+    blocks, frequencies = passages.shared_blocks, matchers._frequencies
+    monkeypatch.setattr(passages, "shared_blocks", lambda t, n, m, types, **k: met.append({r[0] for r in types.select("document_version_id").collect()}) or blocks(t, n, m, types, **k))
+    monkeypatch.setattr(matchers, "_frequencies", lambda e: entities.append(e.count()) or frequencies(e))
+    got = runs.match({"text": texts, "person": e}, versions)["match_candidate"].select("document_version1_id", "document_version2_id", "score_type", F.round("score", 6), "item_count")
+    want = both.select("document_version1_id", "document_version2_id", "score_type", F.round("score", 6), "item_count")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and {r.score_type for r in got.collect()} == {"person", "text"}
+    assert met[0] and met[0] <= {*range(8), *range(20, 30)} and entities == [19]
+
+
 def test_optimise_trains_all_kinds(spark):
     kinds = ("person", "formula", "text", "cosine_title", "abstract", "picture", "instrument")
     assert Settings().trained == kinds and (Settings().window, Settings().areas) == (8, 40)
