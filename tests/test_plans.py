@@ -1,7 +1,9 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
-from scholarmesh.operators import filters, matchers, passages, scorers
+from scholarmesh.operators import filters, matchers, passages, scorers, weights
 from scholarmesh.plans import registry, runs, text_queries
 from scholarmesh.plans.pipeline import Config, Pipeline, PipelineError, Settings, Stage, standard_stages
 from scholarmesh.sources import readers
@@ -88,6 +90,15 @@ def test_optimise_trains_all_kinds(spark):
     assert {r.document_version_id for r in out["total_match_candidate_stats"].collect()} == {1, 2, 3, 4}
 
 
+def test_optimise_scores_no_table_of_candidates_by_weights(spark, monkeypatch):
+    monkeypatch.setattr(weights, "evaluate", None)
+    c = spark.createDataFrame([((10**8 + p) * 100 + i, 1, p, "PUBLICATION", "PROPOSAL", k, s) for i, (p, k, s) in enumerate([(2, "text", 9.0), (3, "text", 1.0), (4, "text", 2.0), (5, "text", 3.0), (2, "person", 1.0), (3, "person", 9.0)])], "id long, document_version1_id long, document_version2_id long, document1_type string, document2_type string, score_type string, score double")
+    labelled = spark.createDataFrame([(3, 1, True), (5, 1, False)], "proposal_id long, publication_id long, accepted boolean")
+    out = runs.optimise(c, labelled, spark.createDataFrame([(k, "PROPOSAL" if k > 1 else "PUBLICATION") for k in range(1, 6)], "document_version_id long, document_type string"), Settings(trained=("person", "text"), window=2, areas=2))
+    w = {r.score_type: r.weight for r in out["score_weight"].collect()}
+    assert w["person"] > 0 and math.isclose(w["person"] + w["text"], 1.0) and out["total_match_candidate_stats"].count() > 0
+
+
 def test_streaming(spark, tmp_path):
     day = "2021-01-0{}"
     df = spark.createDataFrame([(1, "text", 2.0, day.format(1)), (1, "text", 2.0, day.format(1)), (2, "text", 3.0, day.format(2)), (3, "text", None, day.format(2))], "id long, score_type string, score double, t string").withColumn("created_at", F.to_timestamp("t")).drop("t")
