@@ -77,7 +77,8 @@ def totals(pairs: DataFrame, weights: DataFrame) -> DataFrame:
     n = weights.count()
     if n > len(EVIDENCE):
         raise ValueError(f"{n} weights, but there are {len(EVIDENCE)} types of evidence")
-    c = contextual(pairs).join(F.broadcast(weights), "score_type")
+    weighed = pairs.join(F.broadcast(weights.select("score_type").distinct()), "score_type", "left_semi")  # before the shuffles
+    c = contextual(weighed).join(F.broadcast(weights), "score_type")
     g = c.groupBy(*_PAIR).agg(F.sum(F.col("score") * F.col("weight")).alias("score"), F.sum(F.col("contextual_score") * F.col("weight")).alias("contextual_score"))
     return g.select(match_id(F.col(_PAIR[0]), F.col(_PAIR[1]), "total").alias("id"), *_PAIR, F.lit("total").alias("score_type"), "score", "contextual_score")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -11,12 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scholarmesh.operators.statistics import contextual
-from scholarmesh.runtime import remove, stored
+from scholarmesh.runtime import remove, small_side, stored
+from scholarmesh.sources.schemas import oriented
 
 #: Rank that an accepted pair should reach, and the one that counts for a pair without any score.
 THRESHOLD, ABSENT = 3, 10
 #: Totals of one publication that are held at once; as many as a core's cache holds.
 TOTALS = 100_000
+#: Candidates that are compared at once with those kept so far.
+CHUNK = 256
 
 
 def weight_range(middle: int, step: int, width: int, whole: int) -> list[int]:
@@ -43,11 +47,12 @@ def weight_grid(spark: SparkSession, kinds: Sequence[str], vectors: Sequence[tup
 def training_scores(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
     """(proposal_id, publication_id, score_type, contextual_score, accepted) of publications that have a label; accepted is
     null for their unlabelled pairs. Repeated rows count once, with their largest score."""
-    once = pairs.filter("not isnan(score)").groupBy("document_version1_id", "document_version2_id", "document1_type", "score_type").agg(F.max("score").alias("score"))
     lab = labelled.filter("accepted is not null").groupBy("proposal_id", "publication_id").agg(F.max("accepted").alias("accepted"))
+    # other publications go before anything is shuffled: a share of the best is one within a publication
+    of = oriented(pairs.filter("not isnan(score)")).join(small_side(lab.select("publication_id").distinct()), "publication_id", "left_semi")
+    once = of.groupBy("document_version1_id", "document_version2_id", "document1_type", "score_type").agg(F.max("score").alias("score"))
     c = contextual(once).select("proposal_id", "publication_id", "score_type", "contextual_score")
-    c = c.join(lab.select("publication_id").distinct(), "publication_id", "left_semi")
-    return c.join(lab, ["proposal_id", "publication_id"], "left")
+    return c.join(small_side(lab), ["proposal_id", "publication_id"], "left")
 
 
 def evaluate(scores: DataFrame, weights: DataFrame) -> DataFrame:
@@ -65,16 +70,44 @@ def evaluate(scores: DataFrame, weights: DataFrame) -> DataFrame:
     return lab.groupBy("weight_id").agg(F.sum(F.col("rank") - 1).alias("rank_sum"), within(10, "top10"), within(THRESHOLD, "top_threshold"), within(5, "top5"), within(3, "top3"), within(1, "top1"), F.count_if(yes & (F.col("rank") > THRESHOLD) | ~yes & (F.col("rank") <= THRESHOLD)).alias("error"))
 
 
+def contenders(scores: np.ndarray) -> np.ndarray:
+    """Places of the candidates that fewer than THRESHOLD others equal or exceed in every score (of equal ones the first
+    count as others). Weights aren't negative, so whatever they are, the THRESHOLD largest totals are among these."""
+    order = np.argsort(-scores.sum(axis=1), kind="stable")  # whoever exceeds a candidate comes before it
+    kept = np.zeros((0, scores.shape[1]))
+    out = []
+    for a in range(0, len(order), CHUNK):
+        some = scores[order[a : a + CHUNK]]
+        above = lambda x: np.logical_and.reduce([x[:, k] >= some[:, k, None] for k in range(x.shape[1])])
+        over = above(kept).sum(axis=1) + np.tril(above(some), -1).sum(axis=1)
+        kept = np.concatenate([kept, some[over < THRESHOLD]])
+        out.append(order[a : a + CHUNK][over < THRESHOLD])
+    return np.concatenate(out)
+
+
 def by_publication(scores: DataFrame, kinds: Sequence[str]) -> DataFrame:
-    """(proposal, kind, score, accepted): a row per publication with a labelled pair. Its scores of these kinds lie in three
-    arrays, candidates numbered from 0; accepted has, per candidate, 1, 0, or -1 where unlabelled."""
+    """(publication_id, scores, accepted): a row per publication with a labelled pair, of its labelled candidates and of
+    those that can be among the first THRESHOLD. scores has a score of each of these kinds, candidate after candidate;
+    accepted has, per candidate, 1, 0, or -1 where unlabelled."""
     s = scores.filter(F.col("score_type").isin(*kinds)).withColumn("kind", (F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("score_type")) - 1).cast("int"))
     each = s.groupBy("publication_id", "proposal_id").agg(F.collect_list(F.struct("kind", F.col("contextual_score").alias("score"))).alias("s"), F.coalesce(F.max("accepted").cast("int"), F.lit(-1)).alias("accepted"))
     g = each.groupBy("publication_id").agg(F.collect_list(F.struct("accepted", "s")).alias("c")).filter("exists(c, x -> x.accepted >= 0)")
     flat = F.flatten(F.transform("c", lambda x, i: F.transform(x["s"], lambda y: F.struct(i.alias("proposal"), y["kind"].alias("kind"), y["score"].alias("score")))))
     g = g.select("publication_id", flat.alias("f"), F.col("c.accepted").alias("accepted"))
     # a fixed number of tasks: each gives a row per weight vector
-    return g.select("publication_id", F.col("f.proposal").alias("proposal"), F.col("f.kind").alias("kind"), F.col("f.score").alias("score"), "accepted").repartition(2 * scores.sparkSession.sparkContext.defaultParallelism, "publication_id")
+    g = g.select("publication_id", F.col("f.proposal").alias("proposal"), F.col("f.kind").alias("kind"), F.col("f.score").alias("score"), "accepted").repartition(2 * scores.sparkSession.sparkContext.defaultParallelism, "publication_id")
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for proposal, kind, value, accepted in zip(b["proposal"], b["kind"], b["score"], b["accepted"]):
+                table = np.zeros((len(accepted), len(kinds)))
+                np.add.at(table, (proposal, kind), np.nan_to_num(np.asarray(value, np.float64)))
+                keep = np.union1d(contenders(table), np.flatnonzero(accepted >= 0))
+                out.append((table[keep].ravel(), accepted[keep]))
+            yield pd.DataFrame({"publication_id": b["publication_id"], "scores": [x for x, _ in out], "accepted": [x for _, x in out]})
+
+    return g.mapInPandas(pack, "publication_id long, scores array<double>, accepted array<int>")
 
 
 def _wrong(scores: np.ndarray, accepted: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -82,12 +115,18 @@ def _wrong(scores: np.ndarray, accepted: np.ndarray, vectors: np.ndarray) -> np.
     out = np.zeros(len(vectors), np.int64)
     labelled = np.flatnonzero(accepted >= 0)
     width = max(1, TOTALS // len(scores))
+    held = np.empty(len(scores) * min(width, len(vectors)))  # once: new memory costs more than the totals
     scores = scores * 1e9  # totals are compared to nine places
     for a in range(0, len(vectors), width):
-        total = scores @ vectors[a : a + width].T
+        some = vectors[a : a + width]
+        total = np.dot(scores, some.T, out=held[: len(scores) * len(some)].reshape(len(scores), len(some)))
         np.rint(total, out=total)
         for c in labelled:
-            within = np.add.reduce(total > total[c], axis=0, dtype=np.int32) < THRESHOLD
+            above = (total > total[c]).view(np.uint8)
+            more = np.zeros(len(some), np.int32)
+            for k in range(0, len(above), 255):  # as many as a byte counts
+                more += np.add.reduce(above[k : k + 255], axis=0, dtype=np.uint8)
+            within = more < THRESHOLD
             within &= (total[c] != 0) | (ABSENT <= THRESHOLD)
             out[a : a + width] += ~within if accepted[c] else within
     return out
@@ -102,17 +141,40 @@ def errors(packed: DataFrame, vectors: Sequence[tuple[int, ...]], whole: int) ->
         w = grid / whole
         found = np.zeros(len(w), np.int64)
         for b in batches:
-            for proposal, kind, value, accepted in zip(b["proposal"], b["kind"], b["score"], b["accepted"]):
-                table = np.zeros((len(accepted), w.shape[1]))
-                np.add.at(table, (proposal, kind), np.nan_to_num(np.asarray(value, np.float64)))
-                found += _wrong(table, np.asarray(accepted), w)
+            for scores, accepted in zip(b["scores"], b["accepted"]):
+                found += _wrong(np.reshape(scores, (len(accepted), -1)), accepted, w)
         yield pd.DataFrame({"weight_id": np.arange(len(w)), "error": found})
 
     return packed.mapInPandas(score, "weight_id long, error long").groupBy("weight_id").agg(F.sum("error").alias("error"))
 
 
+@cache
+def _steps(kinds: int) -> list[tuple[int, ...]]:
+    """A step down, none or one up for each kind, adding up to none."""
+    return [tuple(x - 1 for x in v) for v in compositions([range(3)] * kinds, kinds)]
+
+
 def _near(point: tuple[int, ...], size: int, whole: int) -> list[tuple[int, ...]]:
-    return compositions([weight_range(x, size, 1, whole) for x in point], whole)
+    return [v for s in _steps(len(point)) if min(v := tuple(x + size * y for x, y in zip(point, s))) >= 0 and max(v) <= whole]
+
+
+def _descents(ahead: Sequence[tuple[int, tuple[int, ...]]], known: dict[tuple[int, ...], int], size: int, whole: int) -> tuple[dict[tuple[int, ...], int], dict[tuple[int, ...], None]]:
+    """One descent after the other, none going where one was before: the points they come to with their errors, and the
+    vectors they ask for that aren't known, which they pass over."""
+    seen, missing = {v: e for e, v in ahead}, {}
+    for error, point in ahead:
+        width = size
+        while width >= 1:
+            near = [v for v in _near(point, width, whole) if v not in seen]
+            missing |= dict.fromkeys(v for v in near if v not in known)
+            got = min(((known[v], v) for v in near if v in known), default=None)
+            if got:
+                seen[got[1]] = got[0]
+            if got and got[0] < error:
+                error, point = got
+            else:
+                width //= 2
+    return seen, missing
 
 
 def search(pairs: DataFrame, labelled: DataFrame, kinds: Sequence[str], cells: int = 8, starts: int = 40, depth: int = 3, fixed: dict[str, float] | None = None) -> DataFrame:
@@ -123,7 +185,7 @@ def search(pairs: DataFrame, labelled: DataFrame, kinds: Sequence[str], cells: i
     fixed: weights of further types, added as they are.
     """
     kinds = list(kinds)
-    packed = stored(by_publication(training_scores(pairs, labelled.filter("accepted is not null")), kinds))
+    packed = stored(by_publication(training_scores(pairs.filter(F.col("score_type").isin(*kinds)), labelled.filter("accepted is not null")), kinds))
     whole = 2 * cells * 2**depth
     step = 2**depth
     known: dict[tuple[int, ...], int] = {}
@@ -144,18 +206,10 @@ def search(pairs: DataFrame, labelled: DataFrame, kinds: Sequence[str], cells: i
         learn([v for near in around for v in near])
         best = [min((known[v], v) for v in near) for near in around]
         going = [(*b, size) if b[0] < e else (e, v, size // 2) for (e, v, size), b in zip(going, best)]
-    seen = {v: e for e, v in ahead}
-    for error, point in ahead:
-        size = step // 2
-        while size >= 1:
-            near = [v for v in _near(point, size, whole) if v not in seen]
-            learn(near)
-            got = [min((known[v], v) for v in near)] if near else []
-            seen |= {v: e for e, v in got}
-            if got and got[0][0] < error:
-                error, point = got[0]
-            else:
-                size //= 2
+    # then one after the other; what they ask for is scored for all of them at once, until nothing is missing
+    while (found := _descents(ahead, known, step // 2, whole))[1]:
+        learn([*found[1]])
+    seen = found[0]
     remove(packed)
     best = min(seen, key=lambda v: (seen[v], v)) if seen else tuple([whole // max(1, len(kinds))] * len(kinds))
     rows = [(k, x / whole) for k, x in zip(kinds, best)] + list((fixed or {}).items())

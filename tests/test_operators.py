@@ -186,6 +186,26 @@ def test_errors_of_weights_without_a_row_per_candidate_and_vector(spark, monkeyp
     assert math.isclose(sum(w.values()), 1)
 
 
+def test_weights_are_searched_over_those_that_can_lead_and_in_few_jobs(spark, monkeypatch):
+    """What is stored of a publication are its labelled candidates and those that can be among the first three, which
+    changes no error; the descents ask for their vectors together, and come to the weights of one after the other."""
+    random.seed(7)
+    kinds = ["person", "text", "abstract", "formula"]
+    found = [(p, 1000 + u, "PROPOSAL", k, float(random.randrange(40))) for u in range(6) for p in range(500 if u == 0 else 30) for k in kinds if random.random() < 0.6]
+    pairs = spark.createDataFrame(found, "document_version1_id long, document_version2_id long, document1_type string, score_type string, score double")
+    labelled = spark.createDataFrame([(random.randrange(30), 1000 + u, random.random() < 0.5) for u in range(6) for _ in range(4)], "proposal_id long, publication_id long, accepted boolean")
+    vectors = weights.compositions([range(5)] * 4, 4)
+    scores = weights.training_scores(pairs, labelled)
+    want = rows(weights.evaluate(scores, weights.weight_grid(spark, kinds, vectors, 4)).select("weight_id", "error"))
+    packed = weights.by_publication(scores, kinds)
+    assert rows(weights.errors(packed, vectors, 4)) == want and len({e for _, e in want}) > 1
+    assert 0 < packed.agg(F.sum(F.size("accepted"))).first()[0] < 350
+    jobs, errors = [], weights.errors
+    monkeypatch.setattr(weights, "errors", lambda p, v, whole: jobs.append(len(v)) or errors(p, v, whole))
+    w = {r.score_type: r.weight for r in weights.search(pairs, labelled, kinds, cells=2, starts=12, depth=2).collect()}
+    assert w == {"person": 0.0, "text": 0.5, "abstract": 0.5, "formula": 0.0} and len(jobs) < 8
+
+
 def test_filters(spark):
     pairs = spark.createDataFrame([(1, 2, "text", 1.0), (1, 3, "text", 1.0), (1, 3, "formula", 1.0), (2, 3, "person", 1.0), (1, 9, "text", 1.0)], "document_version1_id long, document_version2_id long, score_type string, score double")
     dates = spark.sql("select * from values (1L, 'PROPOSAL', timestamp'2010-05-01'), (2L, 'PUBLICATION', timestamp'2009-01-01'), (3L, 'PUBLICATION', null) as t(document_version_id, document_type, date)")
